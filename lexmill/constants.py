@@ -137,6 +137,10 @@ SYSTEM_INSTRUCTION = (
 # mark, which a plain \s in Java leaves out). Letters outside ASCII are listed in both
 # cases, since (?i) folds ASCII only.
 WS = r"[\t-\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+WS_CHARS = (
+    "\t\n\v\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 DATE = r"([0-9]{2}\.[0-9]{2}\.[0-9]{4})"
 URL_BLOCK = r"<url>([\s\S]*?)</url>"
 LOC = r"<loc>([^<]+)</loc>"

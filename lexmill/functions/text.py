@@ -1,6 +1,6 @@
 """Column functions on addresses, page text and dates. All run inside the JVM."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill import constants as K
@@ -17,7 +17,7 @@ def falsy_to_null(c) -> Column:
 
 def strip(c) -> Column:
     """Cut white space, as class ``WS`` has it, from both ends."""
-    return F.regexp_replace(_col(c), rf"^{K.WS}+|{K.WS}+\z", "")
+    return F.btrim(_col(c), F.lit(K.WS_CHARS))
 
 
 def strip_tags(c) -> Column:
@@ -27,9 +27,14 @@ def strip_tags(c) -> Column:
     return F.trim(F.regexp_replace(bare, f"{K.WS}+", " "))
 
 
-def capture(c, pattern: str, group: int = 1) -> Column:
-    """First capture, null without one. For groups that hold at least one character."""
-    return F.nullif(F.regexp_extract(_col(c), pattern, group), F.lit(""))
+def capture(c, *patterns: str) -> Column:
+    """Capture of the first pattern that matches, '' if none does.
+
+    For patterns whose capture holds at least one character. A later pattern only runs on
+    rows without an earlier match.
+    """
+    *firsts, last = [F.regexp_extract(_col(c), pattern, 1) for pattern in patterns]
+    return F.coalesce(*[F.nullif(first, F.lit("")) for first in firsts], last)
 
 
 def capture_or_empty(c, pattern: str) -> Column:
@@ -37,6 +42,16 @@ def capture_or_empty(c, pattern: str) -> Column:
     return F.try_element_at(F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(1)), F.lit(1))
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that no later filter or projection computes a second time.
+
+    The optimizer copies the expression of a column into each filter on it. For costly
+    expressions that means the work is done per filter; behind a generator it is done once.
+    """
+    fields = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(fields)))
+
+
 # --- addresses -----------------------------------------------------------------------
 
 
@@ -45,9 +60,9 @@ def law_path(loc) -> Column:
     return F.regexp_extract(_col(loc), K.LAW_URL, 0)
 
 
-def parse_law_url(loc) -> dict[str, Column]:
-    """Type, date and slug of a law address, from one regex pass; null for others."""
-    parts = F.split(law_path(loc), "/")
+def parse_law_path(path) -> dict[str, Column]:
+    """Type, date and slug of a law path; null for ''."""
+    parts = F.split(_col(path), "/")
     tail = F.try_element_at(parts, F.lit(4))
     return {
         "doc_type": F.try_element_at(parts, F.lit(3)),
@@ -56,6 +71,11 @@ def parse_law_url(loc) -> dict[str, Column]:
     }
 
 
+def parse_law_url(loc) -> dict[str, Column]:
+    """Type, date and slug of a law address; null for other addresses."""
+    return parse_law_path(law_path(loc))
+
+
 # --- dates ---------------------------------------------------------------------------
 
 
@@ -69,12 +89,9 @@ def ddmmyyyy_to_iso(c) -> Column:
 
 def german_date_to_iso(c) -> Column:
     """First DD.MM.YYYY in the text as YYYY-MM-DD, unchecked; null without one."""
-    found = capture(c, K.DATE)
-    return F.concat(
-        F.substring(found, 7, 4), F.lit("-"),
-        F.substring(found, 4, 2), F.lit("-"),
-        F.substring(found, 1, 2),
-    )
+    found = F.regexp_extract(_col(c), K.DATE, 1)
+    moved = F.regexp_replace(found, r"([0-9]{2})\.([0-9]{2})\.([0-9]{4})", "$3-$2-$1")
+    return falsy_to_null(moved)
 
 
 def date_violation(c) -> Column:
@@ -98,20 +115,15 @@ def extract_title(html) -> Column:
 
 
 def extract_abbreviation(html) -> Column:
-    raw = F.coalesce(capture(html, K.ABBREVIATION_LIST), capture(html, K.ABBREVIATION_TEXT))
-    return falsy_to_null(strip(raw))
+    return falsy_to_null(strip(capture(html, K.ABBREVIATION_LIST, K.ABBREVIATION_TEXT)))
 
 
 def extract_enactment_date(html) -> Column:
-    return german_date_to_iso(
-        F.coalesce(capture(html, K.ENACTMENT_LIST), capture(html, K.ENACTMENT_TEXT))
-    )
+    return german_date_to_iso(capture(html, K.ENACTMENT_LIST, K.ENACTMENT_TEXT))
 
 
 def extract_last_amendment_date(html) -> Column:
-    return german_date_to_iso(
-        F.coalesce(capture(html, K.AMENDMENT_PHRASE), capture(html, K.AMENDMENT_HEADING))
-    )
+    return german_date_to_iso(capture(html, K.AMENDMENT_PHRASE, K.AMENDMENT_HEADING))
 
 
 def extract_publication_date(html) -> Column:
@@ -138,6 +150,6 @@ def extract_body_text(html, max_chars: int | None = K.TEXT_CHARS) -> Column:
 def extract_issue(html) -> dict[str, Column]:
     """Year and number of the gazette issue a page cites; null without a citation."""
     return {
-        "issue_year": capture(html, K.ISSUE, 1).cast("int"),
-        "issue_number": capture(html, K.ISSUE, 2).try_cast("int"),
+        "issue_year": F.regexp_extract(_col(html), K.ISSUE, 1).try_cast("int"),
+        "issue_number": F.regexp_extract(_col(html), K.ISSUE, 2).try_cast("int"),
     }

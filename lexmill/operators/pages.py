@@ -14,16 +14,16 @@ def extract_laws(pages: DataFrame, max_chars: int | None = K.TEXT_CHARS) -> Data
     Keeps the input columns except ``html``. ``abrogated`` is null where there is no page.
     """
     html = F.col("html")
-    return pages.select(
-        *[c for c in pages.columns if c != "html"],
-        text.is_abrogated(html).alias("abrogated"),
-        text.extract_title(html).alias("title"),
-        text.extract_abbreviation(html).alias("abbreviation"),
-        text.extract_enactment_date(html).alias("enactment_date"),
-        text.extract_last_amendment_date(html).alias("last_amendment_date"),
-        text.extract_publication_date(html).alias("publication_date"),
-        text.extract_body_text(html, max_chars).alias("text_content"),
-    )
+    return text.compute_once(
+        pages,
+        abrogated=text.is_abrogated(html),
+        title=text.extract_title(html),
+        abbreviation=text.extract_abbreviation(html),
+        enactment_date=text.extract_enactment_date(html),
+        last_amendment_date=text.extract_last_amendment_date(html),
+        publication_date=text.extract_publication_date(html),
+        text_content=text.extract_body_text(html, max_chars),
+    ).drop("html")
 
 
 def with_legal_type(extracted: DataFrame) -> DataFrame:

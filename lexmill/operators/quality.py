@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lexmill import constants as K
 from lexmill import schemas as S
-from lexmill.functions.text import date_violation
+from lexmill.functions.text import compute_once, date_violation
 
 # --- fixed values: rules of the document contract ------------------------------------
 DOCUMENT_KEYS = ["legal_act", "legal_act_relations"]
@@ -150,7 +150,7 @@ def check_documents(docs: DataFrame) -> DataFrame:
     array has no violations.
     """
     doc = F.col("_doc")
-    parsed = docs.select("file", "root_ok", "pos", "raw", F.try_parse_json("raw").alias("_doc"))
+    parsed = compute_once(docs, _doc=F.try_parse_json("raw"))
 
     def field(name: str) -> Column:
         return F.try_variant_get(doc, f"$.legal_act.{name}", "string").alias(name)
@@ -171,9 +171,10 @@ def check_documents(docs: DataFrame) -> DataFrame:
 
 def schema_violations(checked: DataFrame) -> DataFrame:
     """One row per violation: ``file, pos, document_id, violation``."""
+    # the outer form keeps the optimizer from testing the array before it explodes it
     return checked.select(
-        "file", "pos", "document_id", F.explode("violations").alias("violation")
-    )
+        "file", "pos", "document_id", F.explode_outer("violations").alias("violation")
+    ).where(F.col("violation").isNotNull())
 
 
 def _date_faults() -> Column:

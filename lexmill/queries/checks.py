@@ -168,7 +168,8 @@ def _versions_joined(versions: str, with_summary: bool = True) -> str:
     CASE v.doc_type WHEN 'rechtsverordnung' THEN 'regulation'
       WHEN 'bekanntmachung' THEN 'announcement' ELSE 'law' END AS legal_type,
     CASE WHEN f.url IS NULL THEN 'transient' END AS error_type
-  FROM ({versions}) v LEFT JOIN (SELECT * FROM f WHERE has_page) f ON v.url = f.url {join})"""
+  FROM ({versions}) v LEFT JOIN (SELECT * EXCLUDE (document_id) FROM f WHERE has_page) f
+    ON v.url = f.url {join})"""
 
 
 NO_PAGE = "'no stored page'"

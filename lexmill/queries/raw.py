@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill import constants as K
 from lexmill.functions.documents import build_legal_act
+from lexmill.session import spread
 
 TODAY = "2000-06-30"
 LAST_RUN = "2000-04-01"
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given web pages."""
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def text(*parts) -> Column:
     """Concatenation of columns and plain strings."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -31,7 +37,7 @@ def german(date: Column) -> Column:
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with short names: ``k, cust, day, status, priority, doc_type``."""
     first = F.substring("o_orderpriority", 1, 1)
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("cust"),
         F.col("o_orderdate").cast("date").alias("day"),

@@ -152,7 +152,7 @@ def observed_counts(spark, sf):
 
 @query
 def page_titles(spark, sf):
-    return raw.table(spark, sf, "pages").select(
+    return raw.pages(spark, sf).select(
         "page_id", X.extract_title("html").alias("title")
     )
 
@@ -160,7 +160,7 @@ def page_titles(spark, sf):
 @query
 def page_texts(spark, sf):
     """Whole body text of every page, and the text kept for a summary request."""
-    whole = raw.table(spark, sf, "pages").select(
+    whole = raw.pages(spark, sf).select(
         "page_id", X.extract_body_text("html", None).alias("body_text")
     )
     return whole.withColumn("text_content", F.substring("body_text", 1, 2500))
@@ -169,7 +169,7 @@ def page_texts(spark, sf):
 @query
 def page_fields(spark, sf):
     """All extractors over the real pages."""
-    return P.extract_laws(raw.table(spark, sf, "pages"))
+    return P.extract_laws(raw.pages(spark, sf))
 
 
 @query

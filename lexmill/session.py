@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,3 +24,13 @@ def shared_dir(spark: SparkSession) -> str:
 def run_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; no two calls give the same."""
     return f"{shared_dir(spark).rstrip('/')}/lexmill/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores if the scan has fewer splits than there are cores.
+
+    For small inputs in one file. An input with enough splits is returned as it is, so a
+    large table is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from lexmill import constants as K
 from lexmill import schemas as S
-from lexmill.functions.text import strip
+from lexmill.functions.text import compute_once, strip
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -32,10 +32,9 @@ def parse_outcomes(lines: DataFrame, value: str = "value") -> DataFrame:
     record = F.col("_record")
     stripped = lines.select(*others, strip(value).alias("_line")).where("_line != ''")
     # a value that parses and opens with a brace is an object
-    parsed = stripped.select(
-        *others,
-        F.when(F.col("_line").startswith("{"), F.try_parse_json("_line")).alias("_record"),
-    )
+    parsed = compute_once(
+        stripped, _record=F.when(F.col("_line").startswith("{"), F.try_parse_json("_line"))
+    ).drop("_line")
     is_error = F.coalesce(F.try_variant_get(record, "$._error", "boolean"), F.lit(False))
     kind = (
         F.when(record.isNull(), K.PARSE_ERROR).when(is_error, "error").otherwise("document")

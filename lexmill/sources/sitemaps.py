@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lexmill import constants as K
 from lexmill.functions.text import (
-    capture, ddmmyyyy_to_iso, falsy_to_null, law_path, parse_law_url, strip,
+    ddmmyyyy_to_iso, falsy_to_null, law_path, parse_law_path, strip,
 )
 
 
@@ -15,23 +15,36 @@ def count_sitemaps(index_xml, default: int = K.DEFAULT_SITEMAPS) -> Column:
     return F.coalesce(F.nullif(found, F.lit(0)), F.lit(default))
 
 
+def _blocks(pages: DataFrame) -> DataFrame:
+    """``page, pos`` and the fields of each ``<url>`` block, taken while it is split off.
+
+    The regexes run inside the generator, so later filters on the fields only compare.
+    """
+
+    def fields(block: Column) -> Column:
+        loc = strip(F.regexp_extract(block, K.LOC, 1))
+        return F.struct(
+            loc.alias("loc"),
+            strip(F.regexp_extract(block, K.LASTMOD, 1)).alias("lastmod"),
+            law_path(loc).alias("path"),
+        )
+
+    blocks = F.regexp_extract_all("xml", F.lit(K.URL_BLOCK), F.lit(1))
+    return pages.select(
+        "page", F.posexplode(F.transform(blocks, fields)).alias("pos", "block")
+    )
+
+
 def explode_sitemap(pages: DataFrame) -> DataFrame:
     """One row per ``<url>`` block with a location: ``page, pos, loc, lastmod``.
 
     ``pos`` is the place of the block in its page, so it does not depend on partitioning.
     """
-    blocks = pages.select(
-        "page",
-        F.posexplode(F.regexp_extract_all("xml", F.lit(K.URL_BLOCK), F.lit(1))).alias(
-            "pos", "block"
-        ),
+    return (
+        _blocks(pages)
+        .where(F.col("block.loc") != "")
+        .select("page", "pos", "block.loc", falsy_to_null("block.lastmod").alias("lastmod"))
     )
-    return blocks.select(
-        "page",
-        "pos",
-        falsy_to_null(strip(capture("block", K.LOC))).alias("loc"),
-        falsy_to_null(strip(capture("block", K.LASTMOD))).alias("lastmod"),
-    ).where(F.col("loc").isNotNull())
 
 
 def keep_law_urls(entries: DataFrame) -> DataFrame:
@@ -43,10 +56,11 @@ def keep_law_urls(entries: DataFrame) -> DataFrame:
 
 def law_entries(pages: DataFrame) -> DataFrame:
     """Entries of law versions: sitemap position, address parts, entry date and slug."""
-    entries = keep_law_urls(explode_sitemap(pages))
-    parsed = entries.select(
-        "page", "pos", F.col("loc").alias("url"), "lastmod",
-        *[c.alias(name) for name, c in parse_law_url("loc").items()],
+    laws = _blocks(pages).where(F.col("block.path") != "")
+    parsed = laws.select(
+        "page", "pos", F.col("block.loc").alias("url"),
+        falsy_to_null("block.lastmod").alias("lastmod"),
+        *[c.alias(name) for name, c in parse_law_path("block.path").items()],
     )
     return parsed.select(
         "*",
