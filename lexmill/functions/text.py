@@ -21,10 +21,10 @@ def strip(c) -> Column:
 
 
 def strip_tags(c) -> Column:
-    """Drop tags, join white space runs to one blank, cut the ends. Entities stay."""
+    """Drop tags, turn white space runs into one blank, cut the ends. Entities stay."""
     bare = F.regexp_replace(_col(c), K.TAG, "")
     # after the replacement a blank is the only white space left, so trim is enough
-    return F.trim(F.regexp_replace(bare, f"{K.WS}+", " "))
+    return F.trim(F.regexp_replace(bare, K.WS_RUN, " "))
 
 
 def capture(c, *patterns: str) -> Column:

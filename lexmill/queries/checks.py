@@ -7,6 +7,7 @@ the extraction checks over the real pages, which have no typed columns to compar
 from lexmill import constants as K
 from lexmill.queries import raw
 
+WS = r"[\t-\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 TODAY, LAST_RUN = raw.TODAY, raw.LAST_RUN
 ISO = "'%Y-%m-%d'"
 
@@ -115,9 +116,9 @@ fetched AS (
 def _summaries(prefix: str) -> str:
     return f"""s AS (
   SELECT '{prefix}' || doc_id AS document_id,
-    regexp_replace(text, '^{K.WS}+|{K.WS}+\\z', '', 'g') AS summary
+    regexp_replace(text, '^{WS}+|{WS}+\\z', '', 'g') AS summary
   FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND doc_id % 13 <> 0
-    AND regexp_replace(text, '^{K.WS}+|{K.WS}+\\z', '', 'g') <> '')"""
+    AND regexp_replace(text, '^{WS}+|{WS}+\\z', '', 'g') <> '')"""
 
 
 EXTRACTED = f"""{FIELDS}, {ATTEMPTS}, x AS (
@@ -234,7 +235,7 @@ LAW_TITLE = r"(?i)<h1[^>]*>([\s\S]*?)</h1>"
 
 def _stripped(text: str) -> str:
     bare = f"regexp_replace({text}, '<[^>]+>', '', 'g')"
-    return f"trim(regexp_replace({bare}, '{K.WS}+', ' ', 'g'))"
+    return f"trim(regexp_replace({bare}, '{WS}+', ' ', 'g'))"
 
 
 TITLE_CAPTURE = f"regexp_extract(html, '{LAW_TITLE}', 1)"
