@@ -148,8 +148,8 @@ _FAR = (
     r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]]"
 )
 WS = rf"[\t\n\x0b\f\r \xa0{_FAR}]"
-# every run of white space except a single blank
-WS_RUN = rf"[\t\n\x0b\f\r\xa0{_FAR}]{WS}*| {WS}+"
+# every run of white space except a single blank; one class test per ordinary character
+WS_RUN = rf"{WS}(?:(?<! ){WS}*|{WS}+)"
 DATE = r"([0-9]{2}\.[0-9]{2}\.[0-9]{4})"
 URL_BLOCK = r"(?s)<url>(.*?)</url>"
 LOC = r"<loc>([^<]+)</loc>"

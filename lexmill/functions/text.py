@@ -27,13 +27,26 @@ def strip_tags(c) -> Column:
     return F.trim(F.regexp_replace(bare, K.WS_RUN, " "))
 
 
-def capture(c, *patterns: str) -> Column:
-    """Capture of the first pattern that matches, '' if none does.
+def lowered(html) -> Column:
+    """Lower-case page for the word tests of the extractors; compute it once per page."""
+    return F.lower(_col(html))
+
+
+def _has(lower: Column | None, word: str) -> Column:
+    """Whether a page can match at all. Searching a word is far cheaper than a regex."""
+    return F.lit(True) if lower is None else lower.contains(word)
+
+
+def capture(c, *patterns: str, only_if: Column | None = None) -> Column:
+    """Capture of the first pattern that matches, '' or null if none does.
 
     For patterns whose capture holds at least one character. A later pattern only runs on
-    rows without an earlier match.
+    rows without an earlier match, and none runs where ``only_if`` is false.
     """
-    *firsts, last = [F.regexp_extract(_col(c), pattern, 1) for pattern in patterns]
+    found = [F.regexp_extract(_col(c), pattern, 1) for pattern in patterns]
+    if only_if is not None:
+        found = [F.when(only_if, text) for text in found]
+    *firsts, last = found
     return F.coalesce(*[F.nullif(first, F.lit("")) for first in firsts], last)
 
 
@@ -108,40 +121,60 @@ def date_violation(c) -> Column:
 
 
 # --- law pages -----------------------------------------------------------------------
+# ``lower`` is the page from :func:`lowered`. With it an extractor skips its patterns on
+# pages that lack the word every match needs; the result is the same.
 
 
-def extract_title(html) -> Column:
-    return falsy_to_null(strip_tags(F.regexp_extract(_col(html), K.TITLE, 1)))
+def extract_title(html, lower: Column | None = None) -> Column:
+    return falsy_to_null(strip_tags(capture(html, K.TITLE, only_if=_has(lower, "<h1"))))
 
 
-def extract_abbreviation(html) -> Column:
-    return falsy_to_null(strip(capture(html, K.ABBREVIATION_LIST, K.ABBREVIATION_TEXT)))
+def extract_abbreviation(html, lower: Column | None = None) -> Column:
+    found = capture(
+        html, K.ABBREVIATION_LIST, K.ABBREVIATION_TEXT, only_if=_has(lower, "rzung")
+    )
+    return falsy_to_null(strip(found))
 
 
-def extract_enactment_date(html) -> Column:
-    return german_date_to_iso(capture(html, K.ENACTMENT_LIST, K.ENACTMENT_TEXT))
+def extract_enactment_date(html, lower: Column | None = None) -> Column:
+    has_word = _has(lower, "ausfertigungsdatum")
+    return german_date_to_iso(
+        capture(html, K.ENACTMENT_LIST, K.ENACTMENT_TEXT, only_if=has_word)
+    )
 
 
-def extract_last_amendment_date(html) -> Column:
-    return german_date_to_iso(capture(html, K.AMENDMENT_PHRASE, K.AMENDMENT_HEADING))
+def extract_last_amendment_date(html, lower: Column | None = None) -> Column:
+    has_word = _has(lower, "letzt")
+    return german_date_to_iso(
+        capture(html, K.AMENDMENT_PHRASE, K.AMENDMENT_HEADING, only_if=has_word)
+    )
 
 
-def extract_publication_date(html) -> Column:
-    return german_date_to_iso(capture(html, K.PUBLICATION))
+def extract_publication_date(html, lower: Column | None = None) -> Column:
+    return german_date_to_iso(
+        capture(html, K.PUBLICATION, only_if=_has(lower, "fundstelle"))
+    )
 
 
-def is_abrogated(html, marker: str = K.ABROGATED_MARKER) -> Column:
+def is_abrogated(
+    html, lower: Column | None = None, marker: str = K.ABROGATED_MARKER
+) -> Column:
     """True if a tag carries a class with the marker. The word in free text does not count."""
-    return _col(html).rlike(rf'(?i)<[^>]+class="[^"]*{marker}[^"]*"[^>]*>')
+    marked = _col(html).rlike(rf'(?i)<[^>]+class="[^"]*{marker}[^"]*"[^>]*>')
+    return _has(lower, marker) & marked
 
 
-def extract_body_text(html, max_chars: int | None = K.TEXT_CHARS) -> Column:
+def extract_body_text(
+    html, max_chars: int | None = K.TEXT_CHARS, lower: Column | None = None
+) -> Column:
     """Text of the first main, else of the first article, else of the page.
 
     An empty main counts as found. ``max_chars=None`` keeps the whole text.
     """
     body = F.coalesce(
-        capture_or_empty(html, K.MAIN), capture_or_empty(html, K.ARTICLE), _col(html)
+        F.when(_has(lower, "<main"), capture_or_empty(html, K.MAIN)),
+        F.when(_has(lower, "<article"), capture_or_empty(html, K.ARTICLE)),
+        _col(html),
     )
     text = strip_tags(body)
     return text if max_chars is None else F.substring(text, 1, max_chars)

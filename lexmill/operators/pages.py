@@ -8,22 +8,28 @@ from lexmill.functions import text
 from lexmill.functions.lookups import map_legal_type
 
 
-def extract_laws(pages: DataFrame, max_chars: int | None = K.TEXT_CHARS) -> DataFrame:
+def extract_laws(
+    pages: DataFrame, max_chars: int | None = K.TEXT_CHARS, with_text: bool = True
+) -> DataFrame:
     """Fields of every page. The page itself is left behind here, before any shuffle.
 
     Keeps the input columns except ``html``. ``abrogated`` is null where there is no page.
+    The text is the costliest field and only summary requests need it; leave it out with
+    ``with_text=False``.
     """
-    html = F.col("html")
-    return text.compute_once(
-        pages,
-        abrogated=text.is_abrogated(html),
-        title=text.extract_title(html),
-        abbreviation=text.extract_abbreviation(html),
-        enactment_date=text.extract_enactment_date(html),
-        last_amendment_date=text.extract_last_amendment_date(html),
-        publication_date=text.extract_publication_date(html),
-        text_content=text.extract_body_text(html, max_chars),
-    ).drop("html")
+    html, lower = F.col("html"), F.col("_lower")
+    fields = {
+        "abrogated": text.is_abrogated(html, lower),
+        "title": text.extract_title(html, lower),
+        "abbreviation": text.extract_abbreviation(html, lower),
+        "enactment_date": text.extract_enactment_date(html, lower),
+        "last_amendment_date": text.extract_last_amendment_date(html, lower),
+        "publication_date": text.extract_publication_date(html, lower),
+    }
+    if with_text:
+        fields["text_content"] = text.extract_body_text(html, max_chars, lower)
+    lowered = pages.withColumn("_lower", text.lowered(html))
+    return text.compute_once(lowered, **fields).drop("html", "_lower")
 
 
 def with_legal_type(extracted: DataFrame) -> DataFrame:

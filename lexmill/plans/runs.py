@@ -7,20 +7,21 @@ from lexmill import schemas as S
 from lexmill.operators import enrich as E
 from lexmill.operators import reports as R
 from lexmill.operators.pages import extract_laws, with_legal_type
-from lexmill.operators.versions import sample_laws
+from lexmill.operators.versions import drop_future, sample_laws
 from lexmill.plans.versions import changed_versions, current_versions
 from lexmill.sources import files, sinks
 from lexmill.sources.sitemaps import law_entries
-from lexmill.operators.versions import drop_future
 
 
-def extract_versions(versions: DataFrame, pages: DataFrame) -> DataFrame:
+def extract_versions(
+    versions: DataFrame, pages: DataFrame, with_text: bool = True
+) -> DataFrame:
     """Extracted fields of versions, from stored pages ``url, html`` (one row per url).
 
     Fields are taken from the pages before the join, so page text is never shuffled. A
     version without a stored page, or with ``html`` null, is a transient failure.
     """
-    extracted = extract_laws(pages.select("url", "html"))
+    extracted = extract_laws(pages.select("url", "html"), with_text=with_text)
     joined = versions.join(extracted, "url", "left")
     no_page = F.col("abrogated").isNull()
     return with_legal_type(joined).withColumns(
@@ -31,16 +32,24 @@ def extract_versions(versions: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
+def run_requests(versions: DataFrame, pages: DataFrame) -> DataFrame:
+    """Summary requests of a run, to be answered before its outcomes are built."""
+    return E.summary_requests(extract_versions(versions, pages))
+
+
 def run_outcomes(
     versions: DataFrame, pages: DataFrame, responses: DataFrame | None = None
 ) -> DataFrame:
-    """Outcome per version. Without responses every summary is null."""
-    extracted = extract_versions(versions, pages)
+    """Outcome per version. Without responses every summary is null.
+
+    Summaries join the versions first: both sides come out of an aggregation by document,
+    so that join needs no further shuffle. Then one shuffle by address brings in the pages.
+    """
     if responses is None:
-        summarised = extracted.withColumn("summary", F.lit(None).cast("string"))
+        summarised = versions.withColumn("summary", F.lit(None).cast("string"))
     else:
-        summarised = E.attach_summaries(extracted, responses)
-    return E.outcomes(summarised)
+        summarised = E.attach_summaries(versions, responses)
+    return E.outcomes(extract_versions(summarised, pages, with_text=False))
 
 
 def finish_run(

@@ -347,6 +347,10 @@ CHECKS: dict[str, str] = {
           FROM m WHERE document_id IS NOT NULL) WHERE rn = 1
         UNION ALL SELECT kind, document_id, reason, summary FROM m WHERE document_id IS NULL""",
     "backfill_outcomes": f"WITH {BACKFILL} SELECT * FROM r",
+    "backfill_requests": f"""WITH {ENTRIES}, {ONLY_FIELDS}, v AS ({_latest('past')})
+        SELECT v.document_id, 'Titel: ' || coalesce(title, 'Kein Titel') || chr(10) || chr(10)
+          || 'Text:' || chr(10) || text_content AS prompt
+        FROM v JOIN f ON v.url = f.url WHERE has_page AND st <> 'F' AND text_content <> ''""",
     "backfill_run": f"""WITH {BACKFILL}, z AS (
           SELECT kind, reason, act_summary AS summary FROM r)
         {_report('backfill', 'backfill_1', 'z', 'true', "kind = 'document'")},

@@ -20,9 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_columns(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a given table, over all cores even if the table is one small file."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given web pages."""
-    return spread(table(spark, sf_dir, "pages"))
+    return spread_columns(spark, sf_dir, "pages", "page_id", "url", "html")
 
 
 def text(*parts) -> Column:
@@ -37,7 +42,10 @@ def german(date: Column) -> Column:
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with short names: ``k, cust, day, status, priority, doc_type``."""
     first = F.substring("o_orderpriority", 1, 1)
-    return spread(table(spark, sf_dir, "orders")).select(
+    return spread_columns(
+        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+        "o_orderpriority",
+    ).select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("cust"),
         F.col("o_orderdate").cast("date").alias("day"),
@@ -190,7 +198,10 @@ def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", 200)
         .otherwise(404)
     )
-    return table(spark, sf_dir, "lineitem").select(
+    lines = spread_columns(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"
+    )
+    return lines.select(
         text("order-", F.col("l_orderkey")).alias("document_id"),
         F.col("l_linenumber").alias("attempt"),
         F.when(F.col("l_linestatus") == "O", status)
@@ -226,7 +237,7 @@ def responses(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     )
     copies = F.when(doc % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        table(spark, sf_dir, "documents")
+        spread_columns(spark, sf_dir, "documents", "doc_id", "text")
         .select("doc_id", good.alias("_good"))
         .select(text(prefix, doc).alias("document_id"), response.alias("response"),
                 F.explode(copies).alias("copy"))
@@ -445,7 +456,11 @@ def order_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat relations from lineitem, in the form of ``flatten_relations``."""
     has_section = F.col("l_linestatus") == "O"
-    return table(spark, sf_dir, "lineitem").select(
+    lines = spread_columns(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        "l_returnflag", "l_linestatus",
+    )
+    return lines.select(
         text("order-", F.col("l_orderkey")).alias("source_document_id"),
         text("part-", F.col("l_partkey")).alias("target_document_id"),
         F.when(F.col("l_returnflag") == "A", "amends")

@@ -197,9 +197,10 @@ def fetch_outcomes(spark, sf):
 # --- documents -----------------------------------------------------------------------
 
 
-def _extracted(spark, sf) -> DataFrame:
+def _extracted(spark, sf, with_text: bool = True) -> DataFrame:
     """Extracted order pages, each with its fetch outcome; no attempt counts as fetched."""
-    extracted = P.with_legal_type(P.extract_laws(raw.law_pages(spark, sf)))
+    pages = raw.law_pages(spark, sf)
+    extracted = P.with_legal_type(P.extract_laws(pages, with_text=with_text))
     fetched = P.fetch_outcome(raw.fetch_attempts(spark, sf))
     joined = extracted.join(fetched, "document_id", "left")
     return joined.withColumn(
@@ -226,14 +227,16 @@ def summary_texts(spark, sf):
 
 @query
 def enriched_documents(spark, sf):
-    summarised = E.attach_summaries(_extracted(spark, sf), raw.responses(spark, sf, "order-"))
+    extracted = _extracted(spark, sf, with_text=False)
+    summarised = E.attach_summaries(extracted, raw.responses(spark, sf, "order-"))
     return _flat_outcomes(E.outcomes(summarised))
 
 
 @query
 def merged_outcomes(spark, sf):
     """Outcomes of a run and of its accumulator, merged and reduced to one per document."""
-    first = E.outcomes(_extracted(spark, sf).withColumn("summary", F.lit(None).cast("string")))
+    extracted = _extracted(spark, sf, with_text=False)
+    first = E.outcomes(extracted.withColumn("summary", F.lit(None).cast("string")))
     second = files.parse_outcomes(raw.accumulator_lines(spark, sf))
     return E.dedup_outcomes(E.merge_outcomes(first, second)).select(
         "kind", "document_id", "reason", F.col("legal_act.summary").alias("summary")
@@ -251,6 +254,13 @@ def backfill_outcomes(spark, sf):
     )
 
 
+@query
+def backfill_requests(spark, sf):
+    """Summary requests of a backfill: current versions, their pages, prompts."""
+    versions = plan_versions.current_versions(raw.sitemap_pages(spark, sf), raw.TODAY)
+    return runs.run_requests(versions, raw.law_pages(spark, sf)).select("document_id", "prompt")
+
+
 @query
 def backfill_run(spark, sf):
     """The whole backfill with all its writes; the stored report."""
