@@ -50,7 +50,7 @@ def attach_summaries(extracted: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def outcomes(extracted: DataFrame) -> DataFrame:
-    """Document or error per law, in one pass: ``kind, document_id, reason, message, …``.
+    """Document or error per law, in one pass: the columns of ``OUTCOMES``.
 
     Needs the columns of an extracted law with ``error_type``, ``message`` and ``summary``.
     """

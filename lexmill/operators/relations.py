@@ -7,6 +7,7 @@ from lexmill import schemas as S
 
 TEXT_FIELDS = ["url", "title", "title_short", "summary", "abbreviation"]
 ROWS_PER_PART = 10_000
+SALTS = 64
 
 
 def split_act_text(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -49,21 +50,26 @@ def nest_documents(
     """
     names = ["source_document_id", "target_document_id", "relation_type"]
     content = names + ["subdivision_concerned", "comment", "whole_document"]
-    rows = relations.select(*content).distinct()
-    sizes = rows.groupBy("source_document_id").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = relations.groupBy("source_document_id").agg(F.count(F.lit(1)).alias("_n"))
     large = sizes.where(F.col("_n") > rows_per_part).select(
         "source_document_id", F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts")
     )
-    share = F.xxhash64(*content)
-    parted = rows.join(large, "source_document_id", "left").withColumn(
-        "part", F.coalesce(F.pmod(share, "_parts"), F.lit(0)).cast("int")
+    # the rows of a large document meet its size over many salts and not in one place
+    rows = relations.select(*content, F.xxhash64(*content).alias("_share")).withColumn(
+        "_salt", F.pmod("_share", F.lit(SALTS)).cast("int")
     )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    parted = rows.join(
+        large.withColumn("_salt", salts), ["source_document_id", "_salt"], "left"
+    ).withColumn("part", F.coalesce(F.pmod("_share", "_parts"), F.lit(0)).cast("int"))
     section = F.when(
         ~F.col("whole_document"), F.struct("subdivision_concerned", "comment")
     )
+    # one shuffle serves both groupings and the join with the acts
     nested = (
-        parted.groupBy(*names, "whole_document", "part")
-        .agg(F.sort_array(F.collect_list(section)).alias("_sections"))
+        parted.repartition("source_document_id", "part")
+        .groupBy(*names, "whole_document", "part")
+        .agg(F.sort_array(F.collect_set(section)).alias("_sections"))
         .withColumn(
             "concerned_sections", F.when(F.size("_sections") > 0, F.col("_sections"))
         )

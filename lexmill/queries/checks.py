@@ -465,6 +465,10 @@ CHECKS: dict[str, str] = {
     "stream_ingest_pages": f"""SELECT page_id,
           {TITLE_TEXT} AS title,
           substr({ARTICLE_TEXT}, 1, 2500) AS text_content, false AS abrogated FROM pages""",
+    "stream_outcomes": f"""WITH {FIELDS}, y AS (
+          SELECT *, CASE WHEN NOT has_page THEN 'transient' END AS error_type,
+            CAST(NULL AS VARCHAR) AS summary FROM f)
+        {_outcomes('y', NO_PAGE)}""",
     "stream_dedup_events": "SELECT event_id, user_id, event_type FROM events",
     "stream_daily_error_rate": f"""SELECT strftime(ts, {ISO}) AS day, count(*) AS fetched,
           count(*) FILTER (WHERE event_type = 'error') AS errors,

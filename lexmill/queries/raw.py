@@ -41,11 +41,15 @@ def german(date: Column) -> Column:
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with short names: ``k, cust, day, status, priority, doc_type``."""
-    first = F.substring("o_orderpriority", 1, 1)
-    return spread_columns(
+    return short_orders(spread_columns(
         spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
         "o_orderpriority",
-    ).select(
+    ))
+
+
+def short_orders(frame: DataFrame) -> DataFrame:
+    first = F.substring("o_orderpriority", 1, 1)
+    return frame.select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("cust"),
         F.col("o_orderdate").cast("date").alias("day"),
@@ -124,7 +128,12 @@ def sitemap_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def law_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A law page per order: ``document_id, doc_type, url, entry_date, html``.
+    """A law page per order."""
+    return law_pages_of(orders(spark, sf_dir))
+
+
+def law_pages_of(short: DataFrame) -> DataFrame:
+    """Law pages of short orders: ``document_id, doc_type, url, entry_date, html``.
 
     ``k % 5`` picks how the fields stand in the page: 0 list form, 1 text form, 2 not at
     all, 3 list form in capitals, 4 present but out of the patterns' reach.
@@ -182,7 +191,7 @@ def law_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text('<Article id="a">', body, "</Article>"))
     )
     html = text('<html><body class="', mark, '">', title, fields, wrapped, "</body></html>")
-    return orders(spark, sf_dir).select(
+    return short.select(
         text("order-", k).alias("document_id"),
         "doc_type",
         order_url().alias("url"),

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.constants import JURISDICTIONS
 from lexmill.functions import text as X
 from lexmill.functions.lookups import map_legal_type, translation_pair
 from lexmill.operators import enrich as E
@@ -441,7 +442,7 @@ def jurisdiction_list_languages(spark, sf):
 @query
 def jurisdiction_membership(spark, sf):
     return raw.jurisdiction_keys(spark, sf).select(
-        "c_custkey", L.in_set("jurisdiction", L.K.JURISDICTIONS).alias("allowed")
+        "c_custkey", L.in_set("jurisdiction", JURISDICTIONS).alias("allowed")
     )
 
 
@@ -531,6 +532,26 @@ def stream_ingest_pages(spark, sf):
     return spark.read.parquet(out).select("page_id", "title", "text_content", "abrogated")
 
 
+@query
+def stream_outcomes(spark, sf):
+    """Law pages of streamed orders to outcomes, each batch guarded before it is written."""
+    out, checkpoint = _fresh(spark, "outcomes")
+
+    def transform(batch: DataFrame) -> DataFrame:
+        laws = P.with_legal_type(P.extract_laws(raw.law_pages_of(batch), with_text=False))
+        failed = F.when(F.col("abrogated").isNull(), "transient")
+        return E.outcomes(
+            laws.withColumn("error_type", failed)
+            .withColumn("message", F.when(F.col("abrogated").isNull(), "no stored page"))
+            .withColumn("summary", F.lit(None).cast("string"))
+        )
+
+    pages = raw.short_orders(_stream(spark, sf, "orders"))
+    job = jobs.write_batches(pages, out, checkpoint, transform, guard=0.5)
+    job.awaitTermination()
+    return _flat_outcomes(spark.read.parquet(out))
+
+
 @query
 def stream_dedup_events(spark, sf):
     """Every event delivered twice, kept once."""

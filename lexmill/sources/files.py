@@ -95,12 +95,15 @@ def read_documents(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_document_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw documents of NDJSON files, in the shape of :func:`read_documents`, splittable."""
+    """Raw documents of NDJSON files, in the shape of :func:`read_documents`, splittable.
+
+    ``pos`` is where the line's split starts, since lines have no number across splits.
+    """
     lines = spark.read.text(list(paths)).where(F.trim("value") != "")
     return lines.select(
         F.col("_metadata.file_name").alias("file"),
         F.lit(True).alias("root_ok"),
-        (F.col("_metadata.file_block_start")).alias("pos"),
+        F.col("_metadata.file_block_start").alias("pos"),
         F.col("value").alias("raw"),
     )
 
@@ -143,6 +146,7 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame:
 def stored_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """One row ``last_run``: the checkpoint of the newest run, null without a commit.
 
+    Run ids must sort by time, as ids with a timestamp do.
     Commits are appended, never replaced, so a lost writer cannot lose the checkpoint.
     """
     return read_commits(spark, path).agg(F.max_by("lastRun", "runId").alias("last_run"))

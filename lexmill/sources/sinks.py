@@ -26,12 +26,12 @@ def export_documents(documents: DataFrame, path: str, run_id: str) -> None:
 
 
 def append_outcomes(outcomes: DataFrame, path: str, batch: str) -> None:
-    """Outcomes of one batch under ``batch=…``; a replayed batch replaces its own files."""
+    """Outcomes of one batch in a folder of its own; a replayed batch replaces its own files."""
     outcomes.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
 def write_run_report(report: DataFrame, path: str, run_id: str) -> None:
-    """One report row as ``run_report_…`` JSON."""
+    """One report row as JSON, in a folder named by the run."""
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
         f"{path.rstrip('/')}/run_report_{run_id}"
     )

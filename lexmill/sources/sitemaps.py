@@ -22,17 +22,21 @@ def _blocks(pages: DataFrame) -> DataFrame:
     """
 
     def fields(block: Column) -> Column:
-        loc = strip(F.regexp_extract(block, K.LOC, 1))
         return F.struct(
-            loc.alias("loc"),
+            strip(F.regexp_extract(block, K.LOC, 1)).alias("loc"),
             strip(F.regexp_extract(block, K.LASTMOD, 1)).alias("lastmod"),
-            law_path(loc).alias("path"),
+        )
+
+    def with_path(entry: Column) -> Column:
+        return F.struct(
+            entry["loc"].alias("loc"),
+            entry["lastmod"].alias("lastmod"),
+            law_path(entry["loc"]).alias("path"),
         )
 
     blocks = F.regexp_extract_all("xml", F.lit(K.URL_BLOCK), F.lit(1))
-    return pages.select(
-        "page", F.posexplode(F.transform(blocks, fields)).alias("pos", "block")
-    )
+    entries = F.transform(F.transform(blocks, fields), with_path)
+    return pages.select("page", F.posexplode(entries).alias("pos", "block"))
 
 
 def explode_sitemap(pages: DataFrame) -> DataFrame:

@@ -19,15 +19,12 @@ class BatchRejected(RuntimeError):
 
 
 def ingest_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
-    file_glob: str | None = None,
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
     """Parquet files under ``path`` as a stream; new files since the last start come in."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
     return reader.parquet(path)
 
 

@@ -1,6 +1,8 @@
 """The plans Spark makes: pruned scans, map-side combine, split skew, no cross joins."""
 
+import re
 from contextlib import contextmanager
+from itertools import pairwise
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -95,6 +97,17 @@ def test_hot_key_of_a_join_is_split(spark):
         assert "skew=true" in plan(left)
 
 
+def test_rows_of_a_large_document_never_meet(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(entry.queries()["nested_documents"](spark, SF))
+    keys = re.findall(r"hashpartitioning\((source_document_id#\d+L?)(, \w+)?", text)
+    assert {rest for _, rest in keys} == {", 4", ", _salt", ", part"}
+    # by document alone only the partial counts are shuffled
+    for line, below in pairwise(text.splitlines()):
+        if re.search(r"Exchange hashpartitioning\(source_document_id#\d+L?, \d", line):
+            assert "partial_count(1)" in below
+
+
 def test_spread(spark):
     one = spark.range(10).coalesce(1)
     assert session.spread(one).rdd.getNumPartitions() == 4
