@@ -13,6 +13,27 @@ from lexmill.sources import files, sinks
 from lexmill.sources.sitemaps import law_entries
 
 
+PRUNE_ROWS = 500_000  # addresses broadcast to pick pages; about 100 MB
+
+
+def work_list(spark: SparkSession, versions: DataFrame, path: str) -> DataFrame:
+    """Store the versions of a run and read them back, so the sitemaps are read once."""
+    versions.write.mode("overwrite").parquet(path)
+    return spark.read.schema(versions.schema).parquet(path)
+
+
+def needed_pages(pages: DataFrame, work: DataFrame, max_rows: int = PRUNE_ROWS) -> DataFrame:
+    """Pages of a stored work list, before their text is looked at.
+
+    A daily run needs few pages of a large store. If the list is short, its addresses are
+    broadcast and all other pages are dropped at the scan. A longer list leaves the pages
+    as they are: sending page text through a shuffle would cost more than reading it.
+    """
+    if work.count() > max_rows:
+        return pages
+    return pages.join(F.broadcast(work.select("url")), "url", "left_semi")
+
+
 def extract_versions(
     versions: DataFrame, pages: DataFrame, with_text: bool = True
 ) -> DataFrame:
@@ -42,8 +63,9 @@ def run_outcomes(
 ) -> DataFrame:
     """Outcome per version. Without responses every summary is null.
 
-    Summaries join the versions first: both sides come out of an aggregation by document,
-    so that join needs no further shuffle. Then one shuffle by address brings in the pages.
+    Summaries join the versions first, while the rows are small. If the versions come
+    straight out of their aggregation, that join needs no shuffle of its own. Then one
+    shuffle by address brings in the pages.
     """
     if responses is None:
         summarised = versions.withColumn("summary", F.lit(None).cast("string"))
@@ -87,9 +109,9 @@ def run_backfill(
 ) -> DataFrame:
     """Full build of all current versions that were not processed before."""
     versions = current_versions(sitemap_pages, today, processed)
-    return finish_run(
-        spark, run_outcomes(versions, pages, responses), out, run_id, "backfill"
-    )
+    work = work_list(spark, versions, f"{out.rstrip('/')}/versions/{run_id}")
+    outcomes = run_outcomes(work, needed_pages(pages, work), responses)
+    return finish_run(spark, outcomes, out, run_id, "backfill")
 
 
 def run_daily(
@@ -107,14 +129,15 @@ def run_daily(
     Without changes the output is empty, the report holds zeros and the checkpoint moves.
     New documents are counted against the stored checkpoint, not against its default.
     """
-    control = f"{out.rstrip('/')}/checkpoint"
+    out = out.rstrip("/")
+    control = f"{out}/checkpoint"
     # one control row each; the dates become literals of the plan
     stored = files.stored_checkpoint(spark, control).first()["last_run"]
     since = files.read_checkpoint(spark, control, today).first()["last_run"]
     versions = changed_versions(sitemap_pages, today, since, latest_first)
-    report = finish_run(
-        spark, run_outcomes(versions, pages, responses), out, run_id, "daily", stored
-    )
+    work = work_list(spark, versions, f"{out}/versions/{run_id}")
+    outcomes = run_outcomes(work, needed_pages(pages, work), responses)
+    report = finish_run(spark, outcomes, out, run_id, "daily", stored)
     sinks.commit_checkpoint(report, control, today)
     return report
 

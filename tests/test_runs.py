@@ -117,3 +117,16 @@ def test_page_scans(spark, tmp_path):
     frame = spark.createDataFrame([("a", "gesetz", "u", "2020-01-01", "x")], S.LAW_PAGES)
     frame.write.parquet(str(tmp_path / "pages"))
     assert rows(files.read_pages(spark, str(tmp_path / "pages"))) == rows(frame)
+
+
+def test_pages_are_picked_before_their_text_is_read(spark, tmp_path):
+    pages = law_pages(spark, *PAGES)
+    versions = spark.createDataFrame([(f"{H}/01012020-a", "a")], "url STRING, document_id STRING")
+    work = runs.work_list(spark, versions, str(tmp_path / "work"))
+    few = runs.needed_pages(pages, work)
+    assert rows(few) == [PAGES[0]]
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    # too many addresses to broadcast: every page stays, none is lost
+    assert runs.needed_pages(pages, work, max_rows=0).count() == len(PAGES)
+    empty = runs.work_list(spark, versions.limit(0), str(tmp_path / "empty"))
+    assert runs.needed_pages(pages, empty).count() == 0
