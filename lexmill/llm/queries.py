@@ -2,10 +2,12 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import simhash
+from lexmill.llm import packing, simhash
 from lexmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +23,11 @@ def query(function):
 def op2_simhash_dedup(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op5_packing(spark, sf):
+    pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
