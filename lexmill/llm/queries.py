@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import packing, simhash
+from lexmill.llm import mixing, packing, simhash
 from lexmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,10 @@ def op5_packing(spark, sf):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op9_mixing(spark, sf):
+    rates = mixing.mix_rates(table(spark, sf, "documents"))
+    taken = (F.col("copies") * F.col("size")).cast("long").alias("taken")
+    return rates.select("doc_id", "size", "source_size", "target", taken, "rate", "copies")
