@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import mixing, packing, simhash
+from lexmill.llm import mixing, packing, secrets, simhash
 from lexmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,22 @@ def query(function):
     return function
 
 
+@query
+def op1_secrets(spark, sf):
+    found = secrets.find_secrets(table(spark, sf, "documents"))
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    counts = [
+        (F.size("secrets") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secrets.KINDS[:3]
+    ]
+    place = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, place), ",")
+    base = F.filter("secrets", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"),
+        F.transform("secrets", lambda s: F.round(s["guess_bits"], 3)).alias("guess_bits"),
+    )
+
+
 @query
 def op2_simhash_dedup(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
