@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import mixing, packing, secrets, simhash
-from lexmill.llm.common import table
+from lexmill.llm import langid, mixing, packing, secrets, simhash
+from lexmill.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -49,6 +49,14 @@ def op5_packing(spark, sf):
     )
 
 
+@query
+def op8_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs.where(~held_out("doc_id", 4, 2)))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_mixing(spark, sf):
     rates = mixing.mix_rates(table(spark, sf, "documents"))
