@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import langid, mixing, packing, secrets, simhash
+from lexmill.llm import langid, lzdedup, mixing, packing, secrets, simhash, toxicity
 from lexmill.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,25 @@ def op2_simhash_dedup(spark, sf):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op3_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    known = ~held_out("doc_id", 5, 0)
+    model = toxicity.fit(docs.where(known), table(spark, sf, "labels").where(known))
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op4_substring_dedup(spark, sf):
+    found = lzdedup.dedup_substrings(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("factors").alias("n_factors")
+    )
+
+
 @query
 def op5_packing(spark, sf):
     pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
