@@ -1,12 +1,14 @@
 """Packing of tokenised documents into windows by Karmarkar-Karp multiway differencing.
 
 A document fills as many whole windows as it can; what is left of it is a part shorter than a
-window. Parts are packed where they arise, in lots of ``lot`` parts of one task, so nothing is
+window. In every eighth document it is cut finely, since small parts balance the others. Parts
+are packed where they arise, in lots of ``lot`` documents of one task, so nothing is
 shuffled: a lot is parted into windows of nearly equal sums by differencing, and the number of
 windows rises as long as one of them exceeds the capacity.
 """
 
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +20,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 CAPACITY = 1024
-LOT = 1024
+LOT = 320
+FINE_EVERY = 8
+FINE_PART = 64
 END_ID = 0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+CACHE_PARTS = 600_000
 
 # How the byte-level vocabulary parts a text, and its special token.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -35,8 +40,8 @@ class WordIds(dict):
     """Ids, as little-endian bytes, of a word with the space before it.
 
     A single space between two other characters always begins a new part of the text, so a
-    text may be cut there and its words looked up. The tokenizer sees a word once. The table
-    is emptied when it is full; it only saves time.
+    text may be cut there and its words looked up. The tokenizer sees a frequent word once. A
+    full table takes no more words; it only saves time.
     """
 
     def __init__(self, path: str):
@@ -57,10 +62,13 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
             raise Unsafe
-        ids = self.encode(" " + word)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = ids
+        stem = word[:-1] if word[-1] in ".,;:!?" else word
+        if stem.isalpha() and max(stem) < "\u0250":  # one part of letters, and perhaps a sign
+            ids = self.part(" " + stem) + (self.part(word[-1]) if stem is not word else b"")
+        else:
+            ids = self.encode(" " + word)
+        if len(self) < CACHE_WORDS:
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -74,10 +82,9 @@ class WordIds(dict):
         ids = self.parts.get(part)
         if ids is None:
             tokens = self.model.tokenize(part.encode("utf-8", "replace").decode("latin-1").translate(self.letters))
-            ids = np.array([t.id for t in tokens], dtype="<u4").tobytes()
-            if len(self.parts) >= CACHE_WORDS:
-                self.parts.clear()
-            self.parts[part] = ids
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            if len(self.parts) < CACHE_PARTS:
+                self.parts[part] = ids
         return ids
 
     def document(self, text: str | None) -> bytes:
@@ -152,7 +159,7 @@ def pack_lot(sizes: list[int], capacity: int) -> list[list[int]]:
         sums, members = differencing(sizes, windows)
         if sums[0] <= capacity:
             return [m for m in members if m]
-        windows += max(1, windows // 200)
+        windows += max(1, int(windows * (sums[0] / capacity - 1) / 4))
 
 
 FIELDS = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -181,7 +188,7 @@ def pack(
         base = TaskContext.get().partitionId() << 40
         emit = _Pieces(id_col, schema)
         rest: list[tuple] = []
-        sequence = 0
+        sequence = ends = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 ids = table.document(text.as_py()) + END_ID.to_bytes(4, "little")
@@ -191,11 +198,17 @@ def pack(
                     at = k * capacity
                     emit.add(doc_id, at, ids[4 * at : 4 * (at + capacity)], tokens, base + sequence, 0)
                     sequence += 1
-                if tokens % capacity:
-                    rest.append((doc_id, whole * capacity, ids[4 * whole * capacity :], tokens))
-                if len(rest) >= lot:
+                at, left = whole * capacity, tokens % capacity
+                if left:
+                    ends += 1
+                    cuts = -(-left // FINE_PART) if ends % FINE_EVERY == 0 else 1
+                    for k in range(cuts):
+                        length = left // cuts + (k < left % cuts)
+                        rest.append((doc_id, at, ids[4 * at : 4 * (at + length)], tokens))
+                        at += length
+                if ends >= lot:
                     sequence = emit.windows(rest, capacity, base, sequence)
-                    rest = []
+                    rest, ends = [], 0
                 if emit.bytes > 8_000_000:
                     yield emit.batch()
         if rest:
