@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import langid, lzdedup, mixing, packing, phrases, secrets, simhash, toxicity
+from lexmill.llm import langid, lzdedup, mixing, nearest, packing, phrases, secrets, simhash, toxicity
 from lexmill.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,12 @@ def op5_packing(spark, sf):
     )
 
 
+@query
+def op6_nearest(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    return nearest.nearest(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 @query
 def op7_fingerprints(spark, sf):
     return phrases.compare_edited(table(spark, sf, "documents"))
