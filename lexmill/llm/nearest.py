@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 DIRECTIONS = 8
 CONFIDENCE = 0.98
-LEAF = 64
+LEAF = 256
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 4_096
 
@@ -77,7 +77,10 @@ class Tree:
 
     def search(self, vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, projected: np.ndarray,
                own_id: int, k: int, limit: float) -> list[tuple[float, int]]:
-        """The ``k`` nearest rows found, as (distance, id); ``limit`` is the chi-square quantile."""
+        """The ``k`` nearest rows found, as (distance, id), of rows that lie in the tree's order.
+
+        ``limit`` is the chi-square quantile.
+        """
         if not len(ids):
             return []
         gap = np.maximum(self.low - projected, 0) + np.maximum(projected - self.high, 0)
@@ -93,12 +96,14 @@ class Tree:
                 heapq.heappush(heap, (bound[left], left))
                 heapq.heappush(heap, (bound[right], right))
                 continue
-            rows = self.order[slice(*self.rows[node])]
+            rows = slice(*self.rows[node])
             difference = vectors[rows] - query
             distance = np.sqrt((difference * difference).sum(axis=1))
             near = np.flatnonzero((distance <= worst) & (ids[rows] != own_id))
             if len(near):
-                found = zip(distance[near].tolist(), ids[rows[near]].tolist(), strict=True)
+                if len(near) > 4 * k:  # the others can't be among the k nearest
+                    near = near[distance[near] <= np.partition(distance[near], k - 1)[k - 1]]
+                found = zip(distance[near].tolist(), ids[rows][near].tolist(), strict=True)
                 best = heapq.nsmallest(k, [*best, *found])
                 worst = best[-1][0] if len(best) == k else math.inf
         return best
@@ -155,6 +160,7 @@ def nearest(
         query_ids, query = once(ids[asks], vectors[asks])
         plane = np.random.default_rng(2024).standard_normal((dim, directions))
         tree = Tree(own @ plane)
+        own_ids, own = own_ids[tree.order], own[tree.order]
         out = [
             (q, i, d)
             for q, v, p in zip(query_ids.tolist(), query, query @ plane, strict=True)
