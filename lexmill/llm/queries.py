@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import langid, lzdedup, mixing, nearest, packing, phrases, secrets, simhash, toxicity
+from lexmill.llm import langid, lzdedup, mixing, nearest, packing, phrases, secrets, simhash, toxicity, wrapper
 from lexmill.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op9_mixing(spark, sf):
     rates = mixing.mix_rates(table(spark, sf, "documents"))
     taken = (F.col("copies") * F.col("size")).cast("long").alias("taken")
     return rates.select("doc_id", "size", "source_size", "target", taken, "rate", "copies")
+
+
+@query
+def op10_main_text(spark, sf):
+    found = wrapper.extract_main_text(table(spark, sf, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
