@@ -24,6 +24,7 @@ WINDOW = 13
 ANCHOR = 5
 SEGMENT = 200_000
 ROW_BYTES = 4_000_000
+BLOCKS = 64
 
 
 class Hasher:
@@ -96,15 +97,20 @@ def _slide(values: np.ndarray, width: int, combine) -> np.ndarray:
     return out
 
 
+def _runs(words: Words, hasher: Hasher, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the ``ANCHOR`` words at each word, and the least of these in each window."""
+    at = np.arange(len(words.doc) - ANCHOR + 1)
+    runs = hasher.ranges(hasher.prefix(words.raw), words.start[at], words.end[at + ANCHOR - 1])
+    return runs, _slide(runs, window - ANCHOR + 1, np.minimum)
+
+
 def anchors(words: Words, hasher: Hasher, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Words at which an anchor of some window starts, and the anchors' hashes."""
     if len(words.doc) < window:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    sums = hasher.prefix(words.raw)
-    n, reach = len(words.doc) - ANCHOR + 1, window - ANCHOR + 1
-    at = np.arange(n)
-    runs = hasher.ranges(sums, words.start[at], words.end[at + ANCHOR - 1])
-    least = _slide(runs, reach, np.minimum)
+    reach = window - ANCHOR + 1
+    runs, least = _runs(words, hasher, window)
+    at = np.arange(len(runs))
     whole = at[: len(least)] + window <= words.last[: len(least)]
     # a run is an anchor if it is the least of some window that holds it; other windows count as 0
     held = np.zeros(len(least) + 2 * (reach - 1), np.uint64)
@@ -114,9 +120,9 @@ def anchors(words: Words, hasher: Hasher, window: int = WINDOW) -> tuple[np.ndar
     return chosen, runs[chosen]
 
 
-def _payload(blocks: int, key, doc, place, ids) -> list[tuple[int, bytes, bytes, bytes]]:
-    """Entries by block: hashes, documents and places as packed numbers."""
-    block = (key >> np.uint64(40)) % np.uint64(blocks)
+def _payload(blocks: int, route, key, doc, place, ids) -> list[tuple[int, bytes, bytes, bytes]]:
+    """Entries by block, as ``route`` tells it: hashes, documents and places as packed numbers."""
+    block = (route >> np.uint64(40)) % np.uint64(blocks)
     order = np.argsort(block, kind="stable")
     key, number, place, block = key[order], doc[order], place[order], block[order]
     cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
@@ -230,7 +236,7 @@ def kept_words(words: list[bytes], factors: list[tuple]) -> list[bytes]:
 
 
 def dedup_substrings(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, blocks: int = BLOCKS
 ) -> DataFrame:
     """``id_col, n_words, n_removed, factors, kept_text`` per row.
 
@@ -241,9 +247,12 @@ def dedup_substrings(
     Null and empty texts have no words. Rows that share an id do not shorten one another. Rows
     without an id are kept whole and are no reference. Texts of any length are parsed whole, in
     segments. No documents: no rows.
+
+    The index has ``blocks`` blocks, or as many as the session has shuffle partitions if these
+    are more; one task holds one block.
     """
     spark = docs.sparkSession
-    blocks = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     named = rows.where(F.col("_id").isNotNull())
     anchor_hash, phrase_hash = 11, 12
@@ -263,7 +272,7 @@ def dedup_substrings(
             out = _ready(blocks, doc[shared], place[shared].astype(np.int32))
             # of a shared key its block gets the least and the greatest document
             send = (doc == low) | last
-            out += [(*r, False) for r in _payload(blocks, key[send], number[send], place[send], ids)]
+            out += [(*r, False) for r in _payload(blocks, key[send], key[send], number[send], place[send], ids)]
             yield from _rows(out)
 
     def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +284,7 @@ def dedup_substrings(
                 yield from _places(_per_doc(doc[shared], place[shared]))
 
     def send_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(phrase_hash)
+        hasher, router = Hasher(phrase_hash), Hasher(anchor_hash)
         for group, words_by_doc, segments in _documents(batches, window):
             if not segments:
                 continue
@@ -296,9 +305,11 @@ def dedup_substrings(
             key = hasher.ranges(sums, words.start[start], words.end[start + window - 1])
             number, place = words.doc[start], words.place[start]
             doc = ids[number]
+            # neighbours mostly share their anchor, so they go to one block and come back together
+            route = _runs(words, router, window)[1][start]
             low, _, _ = _ends_of_key(key, doc)
             send = doc == low
-            out = [(*r, False) for r in _payload(blocks, key[send], number[send], place[send], ids)]
+            out = [(*r, False) for r in _payload(blocks, route[send], key[send], number[send], place[send], ids)]
             # the others repeat a smaller document of the same part; it is their reference
             later, found = _matches(key, doc, place)
             yield from _rows(out + _ready(blocks, later, found))

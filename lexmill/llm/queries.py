@@ -31,7 +31,7 @@ def op1_secrets(spark, sf):
     base = F.filter("secrets", lambda s: s["kind"] != "guess")
     return found.select(
         "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"),
-        F.transform("secrets", lambda s: F.round(s["guess_bits"], 3)).alias("guess_bits"),
+        F.array_join(F.transform("secrets", lambda s: F.format_number(s["guess_bits"], 1)), ";").alias("guess_bits"),
     )
 
 

@@ -20,7 +20,7 @@ def corpus(spark):
     rows = [(i, text(rng.choice([40, 90, 300])), "en", f"src{i % 5}", 0) for i in range(150)]
     rows += [(200 + i, rows[i][1], "en", "src1", 0) for i in range(0, 60, 2)]
     rows += [(300 + i, rows[i][1] + f" token = {HEX}", "en", "src2", 0) for i in range(100, 120)]
-    rows += [(400, None, "en", "src0", 0), (401, "", "en", None, 0), (402, "123 ... 4", None, "src0", 0)]
+    rows += [(500, None, "en", "src0", 0), (501, "", "en", None, 0), (502, "123 ... 4", None, "src0", 0)]
     return spark.createDataFrame([(*r[:4], len(r[1] or "")) for r in rows], DOCS), {r[0]: r for r in rows}
 
 
