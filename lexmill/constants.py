@@ -170,7 +170,8 @@ PUBLICATION = rf"(?is)Fundstelle.{{0,300}}?{DATE}"
 ABROGATED_MARKER = "aufgehoben"
 MAIN = r"(?is)<main[^>]*>(.*?)</main>"
 ARTICLE = r"(?is)<article[^>]*>(.*?)</article>"
-ISSUE = r"GV\. NRW\. ([0-9]{4}) (?:Nr\.|S\.) ([0-9]+)"
+ISSUE = r"GV\. NRW\. ([0-9]{4}) (Nr\.|S\.) ([0-9]+)"
+MARKED_CLASS = r'(?i)<[^>]+class="[^"]*{}[^"]*"[^>]*>'
 ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 SUMMARY_PATH = "$.candidates[0].content.parts[0].text"
 

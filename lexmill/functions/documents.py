@@ -42,13 +42,25 @@ def no_relations() -> Column:
     return F.array().cast(S.RELATIONS)
 
 
-def prompt(title, text) -> Column:
-    """User text of a summary request."""
+def prompt(
+    title, text, text_chars: int | None = K.TEXT_CHARS, prompt_chars: int | None = K.PROMPT_TEXT_CHARS
+) -> Column:
+    """User text of a summary request.
+
+    The request's contract takes the first ``text_chars`` of a text, and ``prompt_chars`` at
+    most of whatever stands for it. Stored texts are whole; None sends them whole.
+    """
+    kept = falsy_to_null(text)
+    if text_chars is not None:
+        kept = F.substring(kept, 1, text_chars)
+    kept = F.coalesce(kept, F.lit(K.NO_TEXT))
+    if prompt_chars is not None:
+        kept = F.substring(kept, 1, prompt_chars)
     return F.concat(
         F.lit("Titel: "),
         F.coalesce(falsy_to_null(title), F.lit(K.NO_TITLE)),
         F.lit("\n\nText:\n"),
-        F.substring(F.coalesce(falsy_to_null(text), F.lit(K.NO_TEXT)), 1, K.PROMPT_TEXT_CHARS),
+        kept,
     )
 
 

@@ -160,16 +160,16 @@ def is_abrogated(
     html, lower: Column | None = None, marker: str = K.ABROGATED_MARKER
 ) -> Column:
     """True if a tag carries a class with the marker. The word in free text does not count."""
-    marked = _col(html).rlike(rf'(?i)<[^>]+class="[^"]*{marker}[^"]*"[^>]*>')
+    marked = _col(html).rlike(K.MARKED_CLASS.format(marker))
     return _has(lower, marker) & marked
 
 
 def extract_body_text(
-    html, max_chars: int | None = K.TEXT_CHARS, lower: Column | None = None
+    html, max_chars: int | None = None, lower: Column | None = None
 ) -> Column:
     """Text of the first main, else of the first article, else of the page.
 
-    An empty main counts as found. ``max_chars=None`` keeps the whole text.
+    An empty main counts as found. The text is whole unless ``max_chars`` is given.
     """
     body = F.coalesce(
         F.when(_has(lower, "<main"), capture_or_empty(html, K.MAIN)),
@@ -181,8 +181,14 @@ def extract_body_text(
 
 
 def extract_issue(html) -> dict[str, Column]:
-    """Year and number of the gazette issue a page cites; null without a citation."""
+    """What a page cites of the gazette: year, and issue number (``Nr.``) or page (``S.``).
+
+    Null without a citation, and the one that is not cited.
+    """
+    sign = F.regexp_extract(_col(html), K.ISSUE, 2)
+    value = F.regexp_extract(_col(html), K.ISSUE, 3).try_cast("int")
     return {
         "issue_year": F.regexp_extract(_col(html), K.ISSUE, 1).try_cast("int"),
-        "issue_number": F.regexp_extract(_col(html), K.ISSUE, 2).try_cast("int"),
+        "issue_number": F.when(sign == "Nr.", value),
+        "issue_page": F.when(sign == "S.", value),
     }

@@ -23,11 +23,17 @@ def enrichable(extracted: DataFrame) -> DataFrame:
     return extracted.where(is_enrichable())
 
 
-def summary_requests(extracted: DataFrame) -> DataFrame:
-    """Requests for the model: ``document_id, prompt, request``, one per enrichable law."""
-    return enrichable(extracted).select(
-        "document_id", prompt("title", "text_content").alias("prompt")
-    ).select("document_id", "prompt", request_json(F.col("prompt")).alias("request"))
+def summary_requests(
+    extracted: DataFrame,
+    text_chars: int | None = K.TEXT_CHARS,
+    prompt_chars: int | None = K.PROMPT_TEXT_CHARS,
+) -> DataFrame:
+    """Requests for the model: ``document_id, prompt, request``, one per enrichable law.
+
+    Only the request is cut, to the lengths of its contract; see :func:`prompt`.
+    """
+    text = prompt("title", "text_content", text_chars, prompt_chars)
+    return enrichable(extracted).select("document_id", text.alias("prompt")).select("document_id", "prompt", request_json(F.col("prompt")).alias("request"))
 
 
 def summaries(responses: DataFrame) -> DataFrame:

@@ -74,22 +74,26 @@ def in_set(column: str, allowed: list[str]) -> Column:
 
 
 def fill_publication_date(extracted: DataFrame, issues: DataFrame) -> DataFrame:
-    """Publication date from the page, else from the gazette issue ``year, number`` it cites.
+    """Publication date from the page, else from the gazette issue it cites.
 
-    Rows that need no lookup get a key of their own instead of null, so that a sort-merge
+    ``issues`` has ``year, number, first_page, last_page, issue_date``. A page cites a year and an
+    issue number (``Nr.``), or a year and a page (``S.``); a page belongs to the issue whose
+    range holds it, of several to the earliest. Rows that need no lookup get a key of their own instead of null, so that a sort-merge
     join spreads them and does not put them all in one partition.
     """
-    needed = (
-        F.col("publication_date").isNull()
-        & F.col("issue_year").isNotNull()
-        & F.col("issue_number").isNotNull()
+    needed = F.col("publication_date").isNull() & F.col("issue_year").isNotNull()
+    key = (
+        F.when(needed & F.col("issue_number").isNotNull(), F.concat_ws("/", "issue_year", "issue_number"))
+        .when(needed & F.col("issue_page").isNotNull(), F.concat_ws("/S/", "issue_year", "issue_page"))
+        .otherwise(F.concat(F.lit("none/"), F.xxhash64("document_id")))
     )
-    key = F.when(needed, F.concat_ws("/", "issue_year", "issue_number")).otherwise(
-        F.concat(F.lit("none/"), F.xxhash64("document_id"))
-    )
-    dim = issues.groupBy(F.concat_ws("/", "year", "number").alias("issue")).agg(
-        F.min("issue_date").alias("issue_date")
+    # an issue has a bounded number of pages; each is a key of its own, so both forms are one equi-join
+    numbers = issues.select(F.concat_ws("/", "year", "number").alias("issue"), "issue_date")
+    paged = issues.where("first_page <= last_page").select(
+        "year", F.explode(F.sequence("first_page", "last_page")).alias("_page"), "issue_date"
     )
+    by_page = paged.select(F.concat_ws("/S/", "year", "_page").alias("issue"), "issue_date")
+    dim = numbers.unionByName(by_page).groupBy("issue").agg(F.min("issue_date").alias("issue_date"))
     found = lookup(extracted, dim, key, "issue", {"issue_date": None})
     return found.withColumn(
         "publication_date", F.coalesce("publication_date", "issue_date")

@@ -9,13 +9,13 @@ from lexmill.functions.lookups import map_legal_type
 
 
 def extract_laws(
-    pages: DataFrame, max_chars: int | None = K.TEXT_CHARS, with_text: bool = True
+    pages: DataFrame, max_chars: int | None = None, with_text: bool = True
 ) -> DataFrame:
     """Fields of every page. The page itself is left behind here, before any shuffle.
 
     Keeps the input columns except ``html``. ``abrogated`` is null where there is no page.
-    The text is the costliest field and only summary requests need it; leave it out with
-    ``with_text=False``.
+    The text is whole unless ``max_chars`` is given. It is the costliest field and only summary
+    requests need it; leave it out with ``with_text=False``.
     """
     html, lower = F.col("html"), F.col("_lower")
     fields = {
@@ -36,12 +36,12 @@ def with_legal_type(extracted: DataFrame) -> DataFrame:
     return extracted.withColumn("legal_type", map_legal_type("doc_type"))
 
 
-def fetch_outcome(attempts: DataFrame, max_attempts: int = K.MAX_ATTEMPTS) -> DataFrame:
+def fetch_outcome(attempts: DataFrame) -> DataFrame:
     """Outcome per document of an attempt log ``document_id, attempt, status, error``.
 
-    The first success or 4xx within ``max_attempts`` decides: ok or permanent. Anything
-    else (5xx, no status) is transient and decides only if nothing better follows; then
-    the last attempt gives the message.
+    The first success or 4xx decides: ok or permanent. Anything else (5xx, no status) is
+    transient and decides only if nothing better follows; then the last attempt gives the
+    message. How often to try is up to whoever fetches; every logged document has a row.
     """
     status = F.col("status")
     kind = (
@@ -49,7 +49,7 @@ def fetch_outcome(attempts: DataFrame, max_attempts: int = K.MAX_ATTEMPTS) -> Da
         .when(status < 400, "ok")
         .otherwise("transient")
     )
-    tried = attempts.where(F.col("attempt") <= max_attempts).withColumn("_kind", kind)
+    tried = attempts.withColumn("_kind", kind)
     waits = F.col("_kind") == "transient"
     rank = F.struct(
         waits.alias("waits"),

@@ -199,15 +199,25 @@ def date_violations(acts: DataFrame, *keep: str) -> DataFrame:
     return acts.select(*keep, "document_id", F.inline(_date_faults()))
 
 
+def passing_files(checked: DataFrame) -> DataFrame:
+    """Documents of files without a schema violation.
+
+    Dates, titles and duplicates are judged in such files only. The verdict per file is an
+    aggregate of one row a file.
+    """
+    failed = checked.where(F.size("violations") > 0).select("file").distinct()
+    return checked.join(failed, "file", "left_anti")
+
+
 def title_warnings(acts: DataFrame) -> DataFrame:
-    """Documents without a title, the sign of an empty page."""
-    return acts.where(F.col("title").isNull())
+    """Documents without a title, the sign of an empty page. An empty file has no document."""
+    return acts.where(F.col("pos").isNotNull() & F.col("title").isNull())
 
 
 def duplicate_keys(docs: DataFrame, group: str = "file", key: str = "document_id") -> DataFrame:
     """Ids that occur more than once in a file: ``file, document_id, copies``."""
     return (
-        docs.groupBy(group, F.coalesce(F.col(key), F.lit("?")).alias(key))
+        docs.where(F.col("pos").isNotNull()).groupBy(group, F.coalesce(F.col(key), F.lit("?")).alias(key))
         .agg(F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
     )

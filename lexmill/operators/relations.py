@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 from lexmill import schemas as S
 
 TEXT_FIELDS = ["url", "title", "title_short", "summary", "abbreviation"]
-ROWS_PER_PART = 10_000
-SALTS = 64
 
 
 def split_act_text(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,60 +36,43 @@ def flatten_relations(documents: DataFrame) -> DataFrame:
     )
 
 
-def nest_documents(
-    acts: DataFrame, relations: DataFrame, rows_per_part: int = ROWS_PER_PART
-) -> DataFrame:
+def nest_documents(acts: DataFrame, relations: DataFrame, parts: int) -> DataFrame:
     """Documents ``part, legal_act, legal_act_relations`` from acts and flat relations.
 
-    ``acts`` has ``legal_act``; ``relations`` the form of :func:`flatten_relations`. A
-    document with more than about ``rows_per_part`` relation rows comes in several parts,
-    each with the same act and its own share of the relations, so no group outgrows a task
-    and nothing is cut. Nearly every document has part 0 only. Equal rows are one row.
+    ``acts`` has ``legal_act``; ``relations`` the form of :func:`flatten_relations`. The grain is
+    (document, part) for every document, whatever its size: its relation rows are dealt to
+    ``parts`` parts by a hash of the row, so a document with very many relations is not
+    gathered in one place. Part 0 is always there, other parts where they have relations. Equal
+    rows stay as many as they are. Choose ``parts`` by the largest document; 1 gives one row
+    per document.
+
+    One scan, and one shuffle by document and part that both groupings and the join share.
     """
     names = ["source_document_id", "target_document_id", "relation_type"]
     content = names + ["subdivision_concerned", "comment", "whole_document"]
-    sizes = relations.groupBy("source_document_id").agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.where(F.col("_n") > rows_per_part).select(
-        "source_document_id", F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts")
-    )
-    # the rows of a large document meet its size over many salts and not in one place
-    rows = relations.select(*content, F.xxhash64(*content).alias("_share")).withColumn(
-        "_salt", F.pmod("_share", F.lit(SALTS)).cast("int")
-    )
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    parted = rows.join(
-        large.withColumn("_salt", salts), ["source_document_id", "_salt"], "left"
-    ).withColumn("part", F.coalesce(F.pmod("_share", "_parts"), F.lit(0)).cast("int"))
-    section = F.when(
-        ~F.col("whole_document"), F.struct("subdivision_concerned", "comment")
+    share = F.pmod(F.xxhash64(*content), F.lit(parts)).cast("int")
+    section = F.when(~F.col("whole_document"), F.struct("subdivision_concerned", "comment"))
+    grouped = (
+        relations.select(*content, share.alias("part"))
+        .repartition("source_document_id", "part")
+        .groupBy(*names, "whole_document", "part")
+        .agg(F.sort_array(F.collect_list(section)).alias("_sections"), F.count(F.lit(1)).alias("_n"))
     )
-    # one shuffle serves both groupings and the join with the acts
+    concerned = F.when(~F.col("whole_document"), F.col("_sections"))
+    relation = F.struct(*names, concerned.alias("concerned_sections"))
+    # a relation with the whole document has no sections; it is listed as often as it was given
+    times = F.when(F.col("whole_document"), F.col("_n")).otherwise(1).cast("int")
     nested = (
-        parted.repartition("source_document_id", "part")
-        .groupBy(*names, "whole_document", "part")
-        .agg(F.sort_array(F.collect_set(section)).alias("_sections"))
-        .withColumn(
-            "concerned_sections", F.when(F.size("_sections") > 0, F.col("_sections"))
-        )
+        grouped.select("source_document_id", "part", F.array_repeat(relation, times).alias("_same"))
         .groupBy("source_document_id", "part")
-        .agg(
-            F.sort_array(F.collect_list(F.struct(*names, "concerned_sections"))).alias("_list")
-        )
-    )
-    # acts get a row per part first, so both sides of the join hold (document, part) once
-    document_id = F.col("legal_act.document_id")
-    places = acts.join(
-        large.withColumnRenamed("source_document_id", "_large"),
-        document_id == F.col("_large"), "left",
-    ).select(
-        "legal_act",
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)).alias("_place"),
+        .agg(F.sort_array(F.flatten(F.collect_list("_same"))).alias("_list"))
     )
+    places = acts.select("legal_act", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_place"))
     joined = places.join(
         nested,
-        (document_id == F.col("source_document_id")) & (F.col("_place") == F.col("part")),
+        (F.col("legal_act.document_id") == F.col("source_document_id")) & (F.col("_place") == F.col("part")),
         "left",
-    )
+    ).where((F.col("_place") == 0) | F.col("_list").isNotNull())
     return joined.select(
         F.col("_place").cast("int").alias("part"),
         "legal_act",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lexmill import constants as K
 from lexmill import schemas as S
 
-MAX_NESTED_REASONS = 1_000
+REASONS = [K.ABROGATED, K.PERMANENT, K.TRANSIENT, K.PARSE_ERROR]
 
 
 class QuorumError(RuntimeError):
@@ -38,7 +38,8 @@ def run_report(
 ) -> DataFrame:
     """One row of counts for a run, by one global aggregate. Works on an empty run too.
 
-    ``abrogated`` is given on its own and is also part of ``errors``.
+    ``abrogated`` is given on its own and is also part of ``errors``. ``reasons`` counts the
+    reasons that runs give themselves; others, from outside, are only in :func:`error_reasons`.
     """
     document = F.col("kind") == "document"
     act = F.col("legal_act")
@@ -54,6 +55,15 @@ def run_report(
         F.count_if(document & ~new).alias("updatedDocuments"),
         F.count_if(~document).alias("errors"),
         F.count_if(F.col("reason") == K.ABROGATED).alias("abrogated"),
+        F.array(
+            *[
+                F.struct(
+                    F.lit(r).alias("reason"),
+                    F.count_if(~document & (F.col("reason") == r)).alias("count"),
+                )
+                for r in REASONS
+            ]
+        ).alias("reasons"),
     ).select(F.lit(run_id).alias("runId"), F.lit(mode).alias("mode"), "*")
 
 
@@ -71,32 +81,14 @@ def sort_reasons(reasons: DataFrame) -> DataFrame:
     return reasons.orderBy(F.desc("count"), "reason")
 
 
-def nest_report(
-    report: DataFrame, reasons: DataFrame, max_reasons: int = MAX_NESTED_REASONS
-) -> DataFrame:
+def nest_report(report: DataFrame) -> DataFrame:
     """Report row in the exchange form, with ``topErrorReasons`` as an array.
 
-    Reasons are a handful of classes. If there are more than ``max_reasons``, someone put
-    free text in the reason: the job then fails with a message, it does not cut the list.
-    The flat table of :func:`error_reasons` holds any number.
+    The array holds the closed set of reasons that runs give; it needs no limit and no join.
     """
-    some = sort_reasons(reasons).limit(max_reasons + 1)
-    reason_list = some.agg(F.collect_list(F.struct("reason", "count")).alias("_list")).select(
-        F.when(
-            F.size("_list") > max_reasons,
-            F.raise_error(F.lit(f"more than {max_reasons} error reasons")).cast(
-                S.RUN_REPORT["topErrorReasons"].dataType
-            ),
-        )
-        .otherwise(F.array_sort("_list", _by_count_then_name))
-        .alias("topErrorReasons"),
-    )
-    # both inputs have one row; the union makes them one without a join
-    counts = [f.name for f in S.RUN_REPORT if f.name != "topErrorReasons"]
-    return (
-        report.select(*counts)
-        .unionByName(reason_list, allowMissingColumns=True)
-        .agg(*[F.first(f.name, ignorenulls=True).alias(f.name) for f in S.RUN_REPORT])
+    seen = F.filter("reasons", lambda r: r["count"] > 0)
+    return report.withColumn("topErrorReasons", F.array_sort(seen, _by_count_then_name)).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RUN_REPORT]
     )
 
 
@@ -129,16 +121,24 @@ def committable(reports: DataFrame, max_rate: float = K.COMMIT_ERROR_RATE) -> Da
     return reports.where(error_rate() < max_rate)
 
 
-def quorum(page_loads: DataFrame, max_failed: float = K.QUORUM_MAX_FAILED) -> DataFrame:
-    """One row ``total, failed, reached`` of a load log ``page, loaded``."""
-    failed = F.count_if(~F.coalesce(F.col("loaded"), F.lit(False)))
-    return page_loads.agg(F.count(F.lit(1)).alias("total"), failed.alias("failed")).withColumn(
+def quorum(
+    page_loads: DataFrame, max_failed: float = K.QUORUM_MAX_FAILED, expected: int | None = None
+) -> DataFrame:
+    """One row ``total, failed, reached`` of a load log ``page, loaded``.
+
+    ``expected`` is the number of pages the index lists; those that are absent have failed.
+    """
+    loaded = F.count_if(F.coalesce(F.col("loaded"), F.lit(False)))
+    total = F.greatest(F.count(F.lit(1)), F.lit(expected or 0).cast("long"))
+    return page_loads.agg(total.alias("total"), (total - loaded).alias("failed")).withColumn(
         "reached", F.col("failed") <= F.col("total") * max_failed
     )
 
 
-def require_quorum(page_loads: DataFrame, max_failed: float = K.QUORUM_MAX_FAILED) -> None:
-    """Raise if more than ``max_failed`` of the pages could not be loaded."""
-    row = quorum(page_loads, max_failed).first()
+def require_quorum(
+    page_loads: DataFrame, max_failed: float = K.QUORUM_MAX_FAILED, expected: int | None = None
+) -> None:
+    """Raise if more than ``max_failed`` of the pages could not be loaded or are absent."""
+    row = quorum(page_loads, max_failed, expected).first()
     if not row["reached"]:
         raise QuorumError(f"{row['failed']} of {row['total']} source pages failed")

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill import constants as K
+
 
 def upsert(old: DataFrame, new: DataFrame, key: tuple[str, ...] = ("document_id",)) -> DataFrame:
     """``old`` with every row of ``new`` put in by key. Both sides hold a key once.
@@ -22,6 +24,6 @@ def processed_ids(outcome_rows: DataFrame, retry_transient: bool = False) -> Dat
     rows = outcome_rows.where(F.col("document_id").isNotNull())
     if retry_transient:
         rows = rows.where(
-            F.coalesce(F.col("reason") != "http_error_transient", F.lit(True))
+            F.coalesce(F.col("reason") != K.TRANSIENT, F.lit(True))
         )
     return rows.select("document_id").distinct()

@@ -1,150 +1,231 @@
-"""Whole runs: backfill, daily and sample."""
+"""Whole runs: backfill, daily and sample.
+
+Pages are looked at once, by :func:`ingest_pages`, which stores their fields and text without the
+HTML. Runs join that narrow table and never read a page again.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill import schemas as S
+from lexmill.functions.text import falsy_to_null
 from lexmill.operators import enrich as E
 from lexmill.operators import reports as R
-from lexmill.operators.pages import extract_laws, with_legal_type
-from lexmill.operators.versions import drop_future, sample_laws
+from lexmill.operators.pages import extract_laws, fetch_outcome, with_legal_type
+from lexmill.operators.snapshots import processed_ids
+from lexmill.operators.versions import drop_future, resume as leave_out, sample_laws
 from lexmill.plans.versions import changed_versions, current_versions
 from lexmill.sources import files, sinks
-from lexmill.sources.sitemaps import law_entries
+from lexmill.sources.sitemaps import count_sitemaps, law_entries
 
 
-PRUNE_ROWS = 500_000  # addresses broadcast to pick pages; about 100 MB
+def ingest_pages(spark: SparkSession, pages: DataFrame, path: str) -> DataFrame:
+    """Extract stored pages ``url, html`` once and store the result: ``url``, fields, whole text.
 
+    With a ``fetched_at`` column the newest fetch of an address counts, otherwise, and among
+    equal times, the fetch with the greatest fields. The HTML stays behind before the shuffle.
+    """
+    when = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None).cast("timestamp")
+    extracted = extract_laws(pages.select("url", "html", when.alias("fetched_at")))
+    fields = [c for c in extracted.columns if c not in ("url", "fetched_at")]
+    row = F.struct("fetched_at", *fields)
+    latest = extracted.groupBy("url").agg(F.max(row).alias("_row"))
+    narrow = latest.select("url", "_row.*")
+    narrow.write.mode("overwrite").parquet(path)
+    return spark.read.schema(narrow.schema).parquet(path)
 
-def work_list(spark: SparkSession, versions: DataFrame, path: str) -> DataFrame:
-    """Store the versions of a run and read them back, so the sitemaps are read once."""
-    versions.write.mode("overwrite").parquet(path)
-    return spark.read.schema(versions.schema).parquet(path)
 
+def page_loads(sitemap_pages: DataFrame) -> DataFrame:
+    """Load log of sitemap pages: a page without content was not loaded."""
+    return sitemap_pages.select("page", falsy_to_null("xml").isNotNull().alias("loaded"))
 
-def needed_pages(pages: DataFrame, work: DataFrame, max_rows: int = PRUNE_ROWS) -> DataFrame:
-    """Pages of a stored work list, before their text is looked at.
 
-    A daily run needs few pages of a large store. If the list is short, its addresses are
-    broadcast and all other pages are dropped at the scan. A longer list leaves the pages
-    as they are: sending page text through a shuffle would cost more than reading it.
+def require_sources(sitemap_pages: DataFrame, index: DataFrame | None = None) -> None:
+    """Stop a run, before it writes anything, if too many sitemap pages failed or are absent.
+
+    ``index`` has one row ``index_xml``; without it the pages that are there are counted.
     """
-    if work.count() > max_rows:
-        return pages
-    return pages.join(F.broadcast(work.select("url")), "url", "left_semi")
+    expected = None
+    if index is not None:
+        row = index.select(count_sitemaps("index_xml").alias("n")).first()  # one control row
+        expected = row["n"] if row else None
+    R.require_quorum(page_loads(sitemap_pages), expected=expected)
 
 
-def extract_versions(
-    versions: DataFrame, pages: DataFrame, with_text: bool = True
+def work_list(spark: SparkSession, versions: DataFrame, path: str) -> DataFrame:
+    """Store the versions of a run and read them back, so the sitemaps are read once."""
+    versions.write.mode("overwrite").parquet(path)
+    return spark.read.schema(versions.schema).parquet(path)
+
+
+def with_fields(
+    versions: DataFrame, fields: DataFrame, attempts: DataFrame | None = None, with_text: bool = True
 ) -> DataFrame:
-    """Extracted fields of versions, from stored pages ``url, html`` (one row per url).
+    """Versions with the fields of their page, and what went wrong with its fetch.
 
-    Fields are taken from the pages before the join, so page text is never shuffled. A
-    version without a stored page, or with ``html`` null, is a transient failure.
+    ``fields`` is the table of :func:`ingest_pages`. The attempt log decides first; a version
+    that was fetched, or has no attempt, but has no page is a transient failure.
     """
-    extracted = extract_laws(pages.select("url", "html"), with_text=with_text)
-    joined = versions.join(extracted, "url", "left")
+    known = fields.drop("fetched_at") if with_text else fields.drop("fetched_at", "text_content")
+    joined = versions.join(known, "url", "left")
     no_page = F.col("abrogated").isNull()
-    return with_legal_type(joined).withColumns(
-        {
-            "error_type": F.when(no_page, "transient"),
-            "message": F.when(no_page, "no stored page"),
-        }
-    )
-
-
-def run_requests(versions: DataFrame, pages: DataFrame) -> DataFrame:
+    error, message = F.when(no_page, "transient"), F.when(no_page, "no stored page")
+    if attempts is not None:
+        logged = fetch_outcome(attempts).select(
+            "document_id", "fetch_outcome", F.col("message").alias("_said")
+        )
+        joined = joined.join(logged, "document_id", "left")
+        failed = F.col("fetch_outcome") != "ok"
+        error = F.when(failed, F.col("fetch_outcome")).otherwise(error)
+        message = F.when(failed, F.col("_said")).otherwise(message)
+    return with_legal_type(joined).withColumns({"error_type": error, "message": message})
+
+
+def run_requests(
+    versions: DataFrame, fields: DataFrame, attempts: DataFrame | None = None
+) -> DataFrame:
     """Summary requests of a run, to be answered before its outcomes are built."""
-    return E.summary_requests(extract_versions(versions, pages))
+    return E.summary_requests(with_fields(versions, fields, attempts))
 
 
 def run_outcomes(
-    versions: DataFrame, pages: DataFrame, responses: DataFrame | None = None
+    versions: DataFrame,
+    fields: DataFrame,
+    responses: DataFrame | None = None,
+    attempts: DataFrame | None = None,
 ) -> DataFrame:
     """Outcome per version. Without responses every summary is null.
 
     Summaries join the versions first, while the rows are small. If the versions come
     straight out of their aggregation, that join needs no shuffle of its own. Then one
-    shuffle by address brings in the pages.
+    shuffle by address brings in the page fields.
     """
     if responses is None:
         summarised = versions.withColumn("summary", F.lit(None).cast("string"))
     else:
         summarised = E.attach_summaries(versions, responses)
-    return E.outcomes(extract_versions(summarised, pages, with_text=False))
+    return E.outcomes(with_fields(summarised, fields, attempts, with_text=False))
 
 
-def finish_run(
+def stored_outcomes(spark: SparkSession, out: str, run_id: str) -> DataFrame:
+    """Outcomes of all batches a run has written so far; empty before the first."""
+    return files.read_outcomes(spark, f"{out.rstrip('/')}/outcomes/{run_id}")
+
+
+def write_work(
     spark: SparkSession,
-    outcomes: DataFrame,
+    work: DataFrame,
+    fields: DataFrame,
     out: str,
     run_id: str,
-    mode: str,
-    last_run: str | None = None,
+    responses: DataFrame | None = None,
+    attempts: DataFrame | None = None,
+    batches: int = 1,
+    only: list[int] | None = None,
+) -> None:
+    """Write a run's outcomes in ``batches`` batches by a hash of the document.
+
+    Each batch is stored before the next begins, so an aborted run keeps what it has done. New
+    batches never replace those of an earlier start. ``only`` picks batches.
+    """
+    before = files.batch_count(spark, f"{out.rstrip('/')}/outcomes/{run_id}")
+    for number in only if only is not None else range(batches):
+        own = work.where(F.pmod(F.xxhash64("document_id"), F.lit(batches)) == number)
+        outcomes = run_outcomes(own, fields, responses, attempts)
+        sinks.append_outcomes(outcomes, f"{out.rstrip('/')}/outcomes/{run_id}", str(before + number))
+
+
+def finish_run(
+    spark: SparkSession, out: str, run_id: str, mode: str, last_run: str | None = None
 ) -> DataFrame:
-    """Write outcomes, documents and report of a run; returns the stored report.
+    """Write documents, reasons, report and alerts of a run's stored outcomes; returns the report.
 
-    Everything after the first write reads the stored outcomes, which are small, so the
-    pages are read once.
+    Everything reads the stored outcomes, which are small. Of several outcomes of a document,
+    as an aborted and a resumed start may leave, one counts.
     """
     out = out.rstrip("/")
-    sinks.append_outcomes(outcomes, f"{out}/outcomes/{run_id}", "0")
-    stored = spark.read.schema(S.OUTCOMES).parquet(f"{out}/outcomes/{run_id}")
+    stored = E.dedup_outcomes(stored_outcomes(spark, out, run_id))
     sinks.write_documents(E.documents(stored), f"{out}/documents", run_id)
-    report = R.run_report(stored, mode, run_id, last_run)
-    nested = R.nest_report(report, R.error_reasons(stored))
-    sinks.write_run_report(nested, f"{out}/reports", run_id)
-    return spark.read.schema(S.RUN_REPORT).json(f"{out}/reports/run_report_{run_id}")
+    sinks.write_reasons(R.error_reasons(stored), f"{out}/reasons", run_id)
+    report = R.nest_report(R.run_report(stored, mode, run_id, last_run))
+    sinks.write_run_report(report, f"{out}/reports", run_id)
+    written = spark.read.schema(S.RUN_REPORT).json(f"{out}/reports/run_report_{run_id}")
+    sinks.write_alerts(R.alerts(written), f"{out}/alerts", run_id)
+    return written
+
+
+def _start(spark, versions, out, run_id, resume) -> DataFrame:
+    """Work list of a run: all its versions, or those without an outcome if it is resumed."""
+    if resume:
+        versions = leave_out(versions, processed_ids(stored_outcomes(spark, out, run_id)))
+    else:
+        sinks.clear_outcomes(spark, f"{out}/outcomes/{run_id}", S.OUTCOMES)
+    return work_list(spark, versions, f"{out}/versions/{run_id}")
 
 
 def run_backfill(
     spark: SparkSession,
     sitemap_pages: DataFrame,
-    pages: DataFrame,
+    fields: DataFrame,
     out: str,
     run_id: str,
     today: str,
     responses: DataFrame | None = None,
     processed: DataFrame | None = None,
+    attempts: DataFrame | None = None,
+    index: DataFrame | None = None,
+    batches: int = 1,
+    resume: bool = False,
 ) -> DataFrame:
-    """Full build of all current versions that were not processed before."""
+    """Full build of all current versions that were not processed before.
+
+    ``resume`` goes on with a run of the same id that was aborted.
+    """
+    out = out.rstrip("/")
+    require_sources(sitemap_pages, index)
     versions = current_versions(sitemap_pages, today, processed)
-    work = work_list(spark, versions, f"{out.rstrip('/')}/versions/{run_id}")
-    outcomes = run_outcomes(work, needed_pages(pages, work), responses)
-    return finish_run(spark, outcomes, out, run_id, "backfill")
+    work = _start(spark, versions, out, run_id, resume)
+    write_work(spark, work, fields, out, run_id, responses, attempts, batches)
+    return finish_run(spark, out, run_id, "backfill")
 
 
 def run_daily(
     spark: SparkSession,
     sitemap_pages: DataFrame,
-    pages: DataFrame,
+    fields: DataFrame,
     out: str,
     run_id: str,
     today: str,
     responses: DataFrame | None = None,
     latest_first: bool = False,
+    attempts: DataFrame | None = None,
+    index: DataFrame | None = None,
+    batches: int = 1,
+    resume: bool = False,
 ) -> DataFrame:
     """Changes since the stored checkpoint; moves it if the run went well enough.
 
-    Without changes the output is empty, the report holds zeros and the checkpoint moves.
+    Without changes the output is empty, the report holds zeros and the checkpoint moves. If too
+    many sitemap pages failed, the run stops before it writes and the checkpoint stays.
     New documents are counted against the stored checkpoint, not against its default.
     """
     out = out.rstrip("/")
+    require_sources(sitemap_pages, index)
     control = f"{out}/checkpoint"
     # one control row each; the dates become literals of the plan
     stored = files.stored_checkpoint(spark, control).first()["last_run"]
     since = files.read_checkpoint(spark, control, today).first()["last_run"]
     versions = changed_versions(sitemap_pages, today, since, latest_first)
-    work = work_list(spark, versions, f"{out}/versions/{run_id}")
-    outcomes = run_outcomes(work, needed_pages(pages, work), responses)
-    report = finish_run(spark, outcomes, out, run_id, "daily", stored)
+    work = _start(spark, versions, out, run_id, resume)
+    write_work(spark, work, fields, out, run_id, responses, attempts, batches)
+    report = finish_run(spark, out, run_id, "daily", stored)
     sinks.commit_checkpoint(report, control, today)
     return report
 
 
 def sample_outcomes(
-    sitemap_pages: DataFrame, pages: DataFrame, today: str, n: int = 0
+    sitemap_pages: DataFrame, fields: DataFrame, today: str, n: int = 0
 ) -> DataFrame:
     """Outcomes of the first ``n`` laws, without summaries."""
     laws = sample_laws(drop_future(law_entries(sitemap_pages), today), n)
-    return run_outcomes(laws, pages)
+    return run_outcomes(laws, fields)

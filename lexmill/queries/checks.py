@@ -81,11 +81,11 @@ ONLY_FIELDS = f"""f AS (
     CASE WHEN k % 5 = 1 THEN month(d) END AS issue_number,
     CASE t WHEN 'rechtsverordnung' THEN 'regulation' WHEN 'bekanntmachung' THEN 'announcement'
            ELSE 'law' END AS legal_type,
-    substr(trim(
+    trim(
       CASE WHEN k % 15 = 2 AND k % 11 <> 0 AND k % 13 <> 0
            THEN 'Gesetz&nbsp;' || k || ' zu Nr. ' || cust ELSE '' END
       || 'Absatz ' || k || '. ' || CASE WHEN st = 'P' THEN 'aufgehoben ' ELSE '' END
-      || repeat('Wort ', CAST((k % 7) * 100 AS INT))), 1, {K.TEXT_CHARS}) AS text_content
+      || repeat('Wort ', CAST((k % 7) * 100 AS INT))) AS text_content
   FROM o)"""
 FIELDS = f"{O}, {ONLY_FIELDS}"
 PAGE_FIELDS = [
@@ -97,7 +97,7 @@ MASKED = ", ".join(f"CASE WHEN has_page THEN {c} END AS {c}" for c in PAGE_FIELD
 # first deciding attempt of each order
 ATTEMPTS = """a AS (
   SELECT 'order-' || l_orderkey AS document_id, l_linenumber AS attempt, l_returnflag AS flag
-  FROM lineitem WHERE l_linenumber <= 3),
+  FROM lineitem),
 decided AS (
   SELECT document_id, min(attempt) AS attempt,
          min(CASE flag WHEN 'N' THEN 0 ELSE 1 END) AS miss
@@ -157,10 +157,18 @@ def _outcomes(source: str, failed_message: str) -> str:
     FROM {source}"""
 
 
-def _versions_joined(versions: str, with_summary: bool = True) -> str:
+LAW_ATTEMPTS = ATTEMPTS.replace("'order-'", "'law-'")
+
+
+def _versions_joined(versions: str, with_summary: bool = True, attempts: bool = False) -> str:
     """Chosen versions with the fields of the order page at the same address."""
     summary = "summary" if with_summary else "CAST(NULL AS VARCHAR)"
     join = "LEFT JOIN s USING (document_id)" if with_summary else ""
+    error = "CASE WHEN f.url IS NULL THEN 'transient' END"
+    logged = ""
+    if attempts:
+        error = f"CASE WHEN fetch_outcome <> 'ok' THEN fetch_outcome ELSE {error} END"
+        logged = "LEFT JOIN fetched USING (document_id)"
     fields = ", ".join(
         f"f.{c}" for c in PAGE_FIELDS if c != "text_content"
     )
@@ -168,16 +176,19 @@ def _versions_joined(versions: str, with_summary: bool = True) -> str:
   SELECT v.document_id, v.url, v.entry_date, f.st, {fields}, {summary} AS summary,
     CASE v.doc_type WHEN 'rechtsverordnung' THEN 'regulation'
       WHEN 'bekanntmachung' THEN 'announcement' ELSE 'law' END AS legal_type,
-    CASE WHEN f.url IS NULL THEN 'transient' END AS error_type
+    {error} AS error_type
   FROM ({versions}) v LEFT JOIN (SELECT * EXCLUDE (document_id) FROM f WHERE has_page) f
-    ON v.url = f.url {join})"""
+    ON v.url = f.url {join} {logged})"""
 
 
 NO_PAGE = "'no stored page'"
 BACKFILL = f"""{ENTRIES}, {ONLY_FIELDS}, {_summaries('law-')},
   {_versions_joined(_latest('past'))}, r AS ({_outcomes('w', NO_PAGE)})"""
-DAILY = f"""{ENTRIES}, {CHANGED}, {ONLY_FIELDS}, {_summaries('law-')},
-  {_versions_joined(_latest('changed'))}, r AS ({_outcomes('w', NO_PAGE)})"""
+BACKFILL_LOGGED = f"""{ENTRIES}, {ONLY_FIELDS}, {LAW_ATTEMPTS}, {_summaries('law-')},
+  {_versions_joined(_latest('past'), attempts=True)}, r AS ({_outcomes('w', NO_PAGE)}),
+  z AS (SELECT kind, reason, act_summary AS summary FROM r)"""
+DAILY = f"""{ENTRIES}, {CHANGED}, {ONLY_FIELDS}, {LAW_ATTEMPTS}, {_summaries('law-')},
+  {_versions_joined(_latest('changed'), attempts=True)}, r AS ({_outcomes('w', NO_PAGE)})"""
 SAMPLE_LAWS = f"""SELECT latest.* FROM ({_latest('past')}) latest JOIN (
     SELECT document_id FROM (
       SELECT document_id, min(page * 10 + pos) AS first FROM past GROUP BY 1)
@@ -254,7 +265,7 @@ KEYS = f"""j AS (SELECT c_custkey,
   FROM customer)"""
 
 RELATIONS = """rel AS (
-  SELECT DISTINCT 'order-' || l_orderkey AS source_document_id,
+  SELECT 'order-' || l_orderkey AS source_document_id,
     'part-' || l_partkey AS target_document_id,
     CASE l_returnflag WHEN 'A' THEN 'amends' WHEN 'N' THEN 'repeals' ELSE 'replaces' END
       AS relation_type,
@@ -265,6 +276,11 @@ RELATIONS = """rel AS (
 
 INSTRUCTION = K.SYSTEM_INSTRUCTION.replace("'", "''")
 
+BACKFILL_REPORT = f"""WITH {BACKFILL_LOGGED}
+        {_report('backfill', 'backfill_1', 'z', 'true', "kind = 'document'")},
+          {_reason_list('z')} FROM z"""
+PASSING = "file NOT IN (SELECT file FROM q WHERE violation IS NOT NULL)"
+
 CHECKS: dict[str, str] = {
     "sitemap_count": f"""
         SELECT c_custkey AS site, CASE WHEN c_custkey % 9 = 0 OR c_custkey % 60 = 0
@@ -310,7 +326,7 @@ CHECKS: dict[str, str] = {
           {TITLE_TEXT} AS title,
           CAST(NULL AS VARCHAR) AS abbreviation, CAST(NULL AS VARCHAR) AS enactment_date,
           CAST(NULL AS VARCHAR) AS last_amendment_date, CAST(NULL AS VARCHAR) AS publication_date,
-          substr({ARTICLE_TEXT}, 1, 2500) AS text_content FROM pages""",
+          {ARTICLE_TEXT} AS text_content FROM pages""",
     "law_fields": f"""WITH {FIELDS} SELECT document_id, doc_type, url, entry_date,
           CASE WHEN has_page THEN st = 'F' END AS abrogated, {MASKED}, legal_type FROM f""",
     "abrogated_split": f"""WITH {O} SELECT 'order-' || k AS document_id,
@@ -323,7 +339,7 @@ CHECKS: dict[str, str] = {
         WHERE error_type IS NULL AND st <> 'F' AND text_content <> ''""",
     "summary_requests": f"""WITH {EXTRACTED}, r AS (
           SELECT document_id, 'Titel: ' || coalesce(title, 'Kein Titel') || chr(10) || chr(10)
-            || 'Text:' || chr(10) || text_content AS prompt
+            || 'Text:' || chr(10) || substr(text_content, 1, {K.TEXT_CHARS}) AS prompt
           FROM x WHERE error_type IS NULL AND st <> 'F' AND text_content <> '')
         SELECT document_id, prompt,
           '{{"system_instruction":{{"parts":[{{"text":"{INSTRUCTION}"}}]}},"contents":[{{"parts":'
@@ -349,18 +365,27 @@ CHECKS: dict[str, str] = {
     "backfill_outcomes": f"WITH {BACKFILL} SELECT * FROM r",
     "backfill_requests": f"""WITH {ENTRIES}, {ONLY_FIELDS}, v AS ({_latest('past')})
         SELECT v.document_id, 'Titel: ' || coalesce(title, 'Kein Titel') || chr(10) || chr(10)
-          || 'Text:' || chr(10) || text_content AS prompt
+          || 'Text:' || chr(10) || substr(text_content, 1, {K.TEXT_CHARS}) AS prompt
         FROM v JOIN f ON v.url = f.url WHERE has_page AND st <> 'F' AND text_content <> ''""",
-    "backfill_run": f"""WITH {BACKFILL}, z AS (
-          SELECT kind, reason, act_summary AS summary FROM r)
-        {_report('backfill', 'backfill_1', 'z', 'true', "kind = 'document'")},
-          {_reason_list('z')} FROM z""",
+    "ingested_pages": f"""WITH {FIELDS} SELECT url, CASE WHEN has_page THEN st = 'F' END AS abrogated,
+          {MASKED} FROM f""",
+    "backfill_run": BACKFILL_REPORT,
+    "resumed_run": BACKFILL_REPORT,
+    "empty_daily_run": f"""SELECT 'daily_1' AS runId, 'daily' AS mode, 0 AS fetched, 0 AS extracted,
+          0 AS enriched, 0 AS newDocuments, 0 AS updatedDocuments, 0 AS errors,
+          '' AS topErrorReasons, '{TODAY}' AS checkpoint, 0 AS documents""",
+    "run_quorum": f"""WITH q AS (SELECT count(*) AS total, count(*) FILTER (
+            WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS failed FROM orders)
+        SELECT *, failed * 2 <= total AS reached, failed * 2 > total AS stopped,
+          '{LAST_RUN}' AS checkpoint FROM q""",
+    "checkpoint_latest": "SELECT strftime(max(o_orderdate), '%Y-%m') AS last_run FROM orders",
     "daily_run": f"""WITH {DAILY}, z AS (SELECT kind, reason, act_summary AS summary,
           act_entry_into_force_date >= '{LAST_RUN}' AS is_new FROM r)
         {_report('daily', 'daily_1', 'z', 'is_new', "kind = 'document'")},
           {_reason_list('z')},
           CASE WHEN count(*) FILTER (WHERE kind <> 'document') * 2 < count(*) OR count(*) = 0
-            THEN '{TODAY}' ELSE '{LAST_RUN}' END AS checkpoint FROM z""",
+            THEN '{TODAY}' ELSE '{LAST_RUN}' END AS checkpoint,
+          CAST(count(*) FILTER (WHERE kind <> 'document') * 10 > count(*) AS INT) AS alerts FROM z""",
     "sample_outcomes": f"WITH {SAMPLE} SELECT * FROM r",
     "accumulator_outcomes": f"WITH {LINES} SELECT * FROM c",
     "run_report": f"""WITH {LINES}
@@ -397,10 +422,10 @@ CHECKS: dict[str, str] = {
     "date_violations": f"""WITH {DOCS} SELECT file, pos, document_id,
           'enactment_date' AS field, {BAD}[bad + 1] AS value,
           ['calendar', 'year_range', 'format', 'year_range'][bad + 1] AS reason
-        FROM q WHERE bad IS NOT NULL""",
-    "title_warnings": f"WITH {DOCS} SELECT file, pos, document_id FROM q WHERE no_title",
+        FROM q WHERE bad IS NOT NULL AND {PASSING}""",
+    "title_warnings": f"WITH {DOCS} SELECT file, pos, document_id FROM q WHERE no_title AND {PASSING}",
     "duplicate_ids": f"""WITH {DOCS} SELECT file, document_id, count(*) AS copies FROM q
-        GROUP BY 1, 2 HAVING count(*) > 1""",
+        WHERE {PASSING} GROUP BY 1, 2 HAVING count(*) > 1""",
     "file_verdicts": f"""WITH {DOCS}, c AS (
           SELECT file, count(*) AS documents, count(violation) AS schema_errors,
             count(bad) AS date_errors, count(*) FILTER (WHERE no_title) AS title_warnings
@@ -464,7 +489,7 @@ CHECKS: dict[str, str] = {
           CASE WHEN k % 2 = 0 THEN 'G' || k END AS abbreviation FROM o""",
     "stream_ingest_pages": f"""SELECT page_id,
           {TITLE_TEXT} AS title,
-          substr({ARTICLE_TEXT}, 1, 2500) AS text_content, false AS abrogated FROM pages""",
+          {ARTICLE_TEXT} AS text_content, false AS abrogated FROM pages""",
     "stream_outcomes": f"""WITH {FIELDS}, y AS (
           SELECT *, CASE WHEN NOT has_page THEN 'transient' END AS error_type,
             CAST(NULL AS VARCHAR) AS summary FROM f)

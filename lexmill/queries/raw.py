@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from lexmill import constants as K
 from lexmill.functions.documents import build_legal_act
-from lexmill.session import spread
 
 TODAY = "2000-06-30"
 LAST_RUN = "2000-04-01"
@@ -21,13 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_columns(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a given table, over all cores even if the table is one small file."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    """Narrow typed columns of a given table, dealt to all cores.
+
+    The builders below make large texts of a few bytes, and a given table may be one small file.
+    """
+    narrow = table(spark, sf_dir, name).select(*columns)
+    return narrow.repartition(spark.sparkContext.defaultParallelism)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given web pages."""
-    return spread_columns(spark, sf_dir, "pages", "page_id", "url", "html")
+    """The given web pages, as the scan splits them."""
+    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
 
 
 def text(*parts) -> Column:
@@ -114,6 +117,13 @@ def sitemap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders(spark, sf_dir).select(F.col("k").alias("page"), xml.alias("xml"))
 
 
+def failing_sitemap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sitemap pages, those of most orders without content: they could not be loaded."""
+    failed = orders(spark, sf_dir).where(F.col("priority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"))
+    pages_ = sitemap_pages(spark, sf_dir).join(failed.select(F.col("k").alias("page"), F.lit(True).alias("_gone")), "page", "left")
+    return pages_.select("page", F.when(F.col("_gone").isNull(), F.col("xml")).alias("xml"))
+
+
 def sitemap_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An index per customer that lists ``c_custkey % 60`` sitemaps; each ninth is missing."""
     index = text(
@@ -158,7 +168,8 @@ def law_pages_of(short: DataFrame) -> DataFrame:
             text(
                 "<p>Abkürzung: <b>G", k, "</b></p><p>Ausfertigungsdatum ist der ", german(day),
                 "</p><p>Letzte Änderung: ", later, "</p><p>Blatt: GV. NRW. ", F.year(day),
-                " Nr. ", F.month(day), "</p>",
+                F.when(k % 2 == 0, text(" Nr. ", F.month(day)))
+                .otherwise(text(" S. ", F.month(day) * 10 + k % 10)), "</p>",
             ),
         )
         .when(
@@ -200,7 +211,7 @@ def law_pages_of(short: DataFrame) -> DataFrame:
     )
 
 
-def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fetch_attempts(spark: SparkSession, sf_dir: str, prefix: str = "order-") -> DataFrame:
     """Attempts from lineitem: ``document_id, attempt, status, error``."""
     status = (
         F.when(F.col("l_returnflag") == "A", 503)
@@ -211,7 +222,7 @@ def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
     return lines.select(
-        text("order-", F.col("l_orderkey")).alias("document_id"),
+        text(prefix, F.col("l_orderkey")).alias("document_id"),
         F.col("l_linenumber").alias("attempt"),
         F.when(F.col("l_linestatus") == "O", status)
         .otherwise(F.when(status != 503, status))
@@ -246,7 +257,7 @@ def responses(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     )
     copies = F.when(doc % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        spread_columns(spark, sf_dir, "documents", "doc_id", "text")
+        table(spark, sf_dir, "documents")
         .select("doc_id", good.alias("_good"))
         .select(text(prefix, doc).alias("document_id"), response.alias("response"),
                 F.explode(copies).alias("copy"))
@@ -483,12 +494,13 @@ def relation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gazette_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issues ``year, number, issue_date`` of the months in which anything was ordered."""
+    """Issues of the months in which anything was ordered; an issue has ten pages."""
     month = F.trunc("day", "month")
     return (
         orders(spark, sf_dir)
         .where(F.month("day") != 12)
         .select(F.year("day").alias("year"), F.month("day").alias("number"),
+                (F.month("day") * 10).alias("first_page"), (F.month("day") * 10 + 9).alias("last_page"),
                 F.date_format(F.date_add(month, 40), "yyyy-MM-dd").alias("issue_date"))
         .distinct()
     )

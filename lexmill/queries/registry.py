@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill import schemas as S
 from lexmill.constants import JURISDICTIONS
 from lexmill.functions import text as X
 from lexmill.functions.lookups import map_legal_type, translation_pair
@@ -26,12 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 VERSION_COLUMNS = ["document_id", "url", "lastmod", "doc_type", "date_str", "entry_date"]
-ACT_COLUMNS = [
-    "document_id", "jurisdiction", "entity_type", "is_in_force", "language", "url",
-    "canonical_source_url", "fallback_text_url", "title", "title_short", "abbreviation", "type",
-    "summary", "entry_into_force_date", "enactment_date", "last_amendment_date",
-    "validity_date", "publication_date",
-]
+ACT_COLUMNS = S.LEGAL_ACT.names
 
 
 def query(function: Query) -> Query:
@@ -160,7 +156,7 @@ def page_titles(spark, sf):
 
 @query
 def page_texts(spark, sf):
-    """Whole body text of every page, and the text kept for a summary request."""
+    """Whole body text of every page, and what a summary request takes of it."""
     whole = raw.pages(spark, sf).select(
         "page_id", X.extract_body_text("html", None).alias("body_text")
     )
@@ -169,7 +165,7 @@ def page_texts(spark, sf):
 
 @query
 def page_fields(spark, sf):
-    """All extractors over the real pages."""
+    """All extractors over the real pages, with their whole text."""
     return P.extract_laws(raw.pages(spark, sf))
 
 
@@ -244,13 +240,23 @@ def merged_outcomes(spark, sf):
     )
 
 
+def _page_fields(spark, sf) -> DataFrame:
+    """The law pages, ingested: their fields, stored once."""
+    return runs.ingest_pages(spark, raw.law_pages(spark, sf), run_path(spark, "fields"))
+
+
+@query
+def ingested_pages(spark, sf):
+    return _page_fields(spark, sf).drop("fetched_at")
+
+
 @query
 def backfill_outcomes(spark, sf):
-    """Backfill: current versions, their pages, summaries, documents and errors."""
+    """Backfill: current versions, their page fields, summaries, documents and errors."""
     versions = plan_versions.current_versions(raw.sitemap_pages(spark, sf), raw.TODAY)
     return _flat_outcomes(
         runs.run_outcomes(
-            versions, raw.law_pages(spark, sf), raw.responses(spark, sf, "law-")
+            versions, _page_fields(spark, sf), raw.responses(spark, sf, "law-")
         )
     )
 
@@ -259,34 +265,90 @@ def backfill_outcomes(spark, sf):
 def backfill_requests(spark, sf):
     """Summary requests of a backfill: current versions, their pages, prompts."""
     versions = plan_versions.current_versions(raw.sitemap_pages(spark, sf), raw.TODAY)
-    return runs.run_requests(versions, raw.law_pages(spark, sf)).select("document_id", "prompt")
+    return runs.run_requests(versions, _page_fields(spark, sf)).select("document_id", "prompt")
 
 
 @query
 def backfill_run(spark, sf):
     """The whole backfill with all its writes; the stored report."""
     report = runs.run_backfill(
-        spark, raw.sitemap_pages(spark, sf), raw.law_pages(spark, sf),
+        spark, raw.sitemap_pages(spark, sf), _page_fields(spark, sf),
         run_path(spark, "backfill"), "backfill_1", raw.TODAY,
-        raw.responses(spark, sf, "law-"),
+        raw.responses(spark, sf, "law-"), attempts=raw.fetch_attempts(spark, sf, "law-"),
     )
     return _flat_report(report)
 
 
 @query
-def daily_run(spark, sf):
-    """A daily run after a stored checkpoint, with all its writes; the stored report."""
-    out = run_path(spark, "daily")
+def resumed_run(spark, sf):
+    """A backfill that stopped after the second of three batches, then resumed; its report."""
+    out = run_path(spark, "resumed")
+    pages, fields = raw.sitemap_pages(spark, sf), _page_fields(spark, sf)
+    given = {"responses": raw.responses(spark, sf, "law-"), "attempts": raw.fetch_attempts(spark, sf, "law-")}
+    work = runs.work_list(
+        spark, plan_versions.current_versions(pages, raw.TODAY), f"{out}/versions/backfill_1"
+    )
+    runs.write_work(spark, work, fields, out, "backfill_1", batches=3, only=[0, 1], **given)
+    report = runs.run_backfill(
+        spark, pages, fields, out, "backfill_1", raw.TODAY, batches=3, resume=True, **given
+    )
+    return _flat_report(report)
+
+
+def _after(spark, name: str, last_run: str) -> str:
+    """Folder of daily runs with a stored checkpoint."""
+    out = run_path(spark, name)
     past = spark.sql(
-        f"SELECT '{raw.LAST_RUN}' AS lastRun, 'daily_0' AS runId"
+        f"SELECT '{last_run}' AS lastRun, 'daily_0' AS runId, TIMESTAMP '2000-01-01' AS committedAt"
     )
     past.write.mode("append").json(f"{out}/checkpoint")
+    return out
+
+
+def _checkpoint(spark, out: str) -> F.Column:
+    return F.lit(files.stored_checkpoint(spark, f"{out}/checkpoint").first()["last_run"])
+
+
+@query
+def daily_run(spark, sf):
+    """A daily run after a stored checkpoint, with all its writes; the stored report."""
+    out = _after(spark, "daily", raw.LAST_RUN)
     report = runs.run_daily(
-        spark, raw.sitemap_pages(spark, sf), raw.law_pages(spark, sf), out, "daily_1",
-        raw.TODAY, raw.responses(spark, sf, "law-"),
+        spark, raw.sitemap_pages(spark, sf), _page_fields(spark, sf), out, "daily_1",
+        raw.TODAY, raw.responses(spark, sf, "law-"), attempts=raw.fetch_attempts(spark, sf, "law-"),
+    )
+    alerts_ = spark.read.schema("alert STRING, error_rate STRING").json(f"{out}/alerts/run_id=daily_1")
+    return _flat_report(report).withColumns(
+        {"checkpoint": _checkpoint(spark, out), "alerts": F.lit(alerts_.count())}
+    )
+
+
+@query
+def empty_daily_run(spark, sf):
+    """A daily run without changes: zeros, readable empty documents, and the checkpoint moves."""
+    out = _after(spark, "empty", "2990-01-01")
+    report = runs.run_daily(
+        spark, raw.sitemap_pages(spark, sf), _page_fields(spark, sf), out, "daily_1", raw.TODAY
+    )
+    documents = spark.read.parquet(f"{out}/documents").count()
+    return _flat_report(report).withColumns(
+        {"checkpoint": _checkpoint(spark, out), "documents": F.lit(documents)}
+    )
+
+
+@query
+def run_quorum(spark, sf):
+    """A daily run most of whose sitemap pages failed: it stops, and its checkpoint stays."""
+    out = _after(spark, "quorum", raw.LAST_RUN)
+    pages = raw.failing_sitemap_pages(spark, sf)
+    try:
+        runs.run_daily(spark, pages, _page_fields(spark, sf), out, "daily_1", raw.TODAY)
+        stopped = False
+    except R.QuorumError:
+        stopped = True
+    return R.quorum(runs.page_loads(pages)).withColumns(
+        {"stopped": F.lit(stopped), "checkpoint": _checkpoint(spark, out)}
     )
-    checkpoint = files.stored_checkpoint(spark, f"{out}/checkpoint").first()["last_run"]
-    return _flat_report(report).withColumn("checkpoint", F.lit(checkpoint))
 
 
 def _flat_report(report: DataFrame) -> DataFrame:
@@ -301,7 +363,7 @@ def _flat_report(report: DataFrame) -> DataFrame:
 def sample_outcomes(spark, sf):
     return _flat_outcomes(
         runs.sample_outcomes(
-            raw.sitemap_pages(spark, sf), raw.law_pages(spark, sf), raw.TODAY, 40
+            raw.sitemap_pages(spark, sf), _page_fields(spark, sf), raw.TODAY, 40
         )
     )
 
@@ -321,14 +383,14 @@ def accumulator_outcomes(spark, sf):
 @query
 def run_report(spark, sf):
     outcomes = files.parse_outcomes(raw.accumulator_lines(spark, sf))
-    return R.run_report(outcomes, "daily", "daily_1", raw.LAST_RUN)
+    return R.run_report(outcomes, "daily", "daily_1", raw.LAST_RUN).drop("reasons")
 
 
 @query
 def nested_run_report(spark, sf):
     outcomes = files.parse_outcomes(raw.accumulator_lines(spark, sf))
     report = R.run_report(outcomes, "backfill", "backfill_1")
-    return _flat_report(R.nest_report(report, R.error_reasons(outcomes)))
+    return _flat_report(R.nest_report(report))
 
 
 @query
@@ -359,6 +421,20 @@ def guarded_commit(spark, sf):
     return files.read_commits(spark, path).select("runId", "lastRun")
 
 
+@query
+def checkpoint_latest(spark, sf):
+    """Commits of runs ``daily_1``, ``daily_2`` and so on, one a month: the last in time counts."""
+    months = raw.monthly_reports(spark, sf, F.lit(False)).select(
+        F.regexp_replace("runId", "run_", "").alias("month"), "fetched", "errors"
+    )
+    at = F.to_timestamp(F.concat("month", F.lit("-01")))
+    number = F.months_between(at, F.lit("1990-01-01").cast("timestamp")).cast("int")
+    reports = months.withColumns({"runId": F.concat(F.lit("daily_"), number), "at": at})
+    path = f"{run_path(spark, 'latest')}/checkpoint"
+    sinks.commit_checkpoint(reports, path, F.col("month"), at=F.col("at"))
+    return files.stored_checkpoint(spark, path)
+
+
 @query
 def source_quorum(spark, sf):
     loads = raw.orders(spark, sf).select(
@@ -387,18 +463,18 @@ def schema_violations(spark, sf):
 @query
 def date_violations(spark, sf):
     checked = Q.check_documents(raw.raw_documents(spark, sf))
-    return Q.date_violations(checked, "file", "pos")
+    return Q.date_violations(Q.passing_files(checked), "file", "pos")
 
 
 @query
 def title_warnings(spark, sf):
     checked = Q.check_documents(raw.raw_documents(spark, sf))
-    return Q.title_warnings(checked).select("file", "pos", "document_id")
+    return Q.title_warnings(Q.passing_files(checked)).select("file", "pos", "document_id")
 
 
 @query
 def duplicate_ids(spark, sf):
-    return Q.duplicate_keys(Q.check_documents(raw.raw_documents(spark, sf)))
+    return Q.duplicate_keys(Q.passing_files(Q.check_documents(raw.raw_documents(spark, sf))))
 
 
 @query
@@ -487,7 +563,7 @@ def upsert_snapshot(spark, sf):
 
 @query
 def relations_flat(spark, sf):
-    nested = N.nest_documents(raw.order_acts(spark, sf), raw.relation_rows(spark, sf))
+    nested = N.nest_documents(raw.order_acts(spark, sf), raw.relation_rows(spark, sf), 4)
     return N.flatten_relations(nested)
 
 

@@ -1,4 +1,7 @@
-"""Explicit schemas. Nothing is inferred on a read or write path."""
+"""Explicit schemas. Nothing is inferred on a read or write path.
+
+Fixed values: the field names and their order are those of the exchange format.
+"""
 
 from pyspark.sql import types as T
 
@@ -40,7 +43,6 @@ RUN_REPORT = T.StructType(
     + [T.StructField("topErrorReasons", T.ArrayType(ERROR_REASON))]
 )
 
-SITEMAP_PAGES = T.StructType([T.StructField("page", T.IntegerType())] + _strings("xml"))
 LAW_PAGES = T.StructType(_strings("document_id", "doc_type", "url", "entry_date", "html"))
 OUTCOMES = T.StructType(
     _strings("kind", "document_id", "reason", "message")
@@ -49,4 +51,6 @@ OUTCOMES = T.StructType(
         T.StructField("legal_act_relations", RELATIONS),
     ]
 )
-CHECKPOINT = T.StructType(_strings("lastRun", "runId"))
+CHECKPOINT = T.StructType(
+    _strings("lastRun", "runId") + [T.StructField("committedAt", T.TimestampType())]
+)

@@ -1,36 +1,23 @@
 """Session helpers: the shared scratch folder and run-unique paths below it."""
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach: ``spark.checkpoint.dir``, as the cluster names it.
 
-    Only a local session without that setting gets a temporary folder, as in tests.
+    A local session without that setting uses its warehouse folder, as tests do.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="lexmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def run_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; no two calls give the same."""
     return f"{shared_dir(spark).rstrip('/')}/lexmill/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores if the scan has fewer splits than there are cores.
-
-    For small inputs in one file. An input with enough splits is returned as it is, so a
-    large table is never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

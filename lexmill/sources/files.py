@@ -118,6 +118,21 @@ def read_run_reports(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Outcomes of a run over all its batches; empty if it has none."""
+    return _read_or_empty(
+        spark, S.OUTCOMES, lambda: spark.read.schema(S.OUTCOMES).parquet(path)
+    ).select(*S.OUTCOMES.names)
+
+
+def batch_count(spark: SparkSession, path: str) -> int:
+    """One more than the greatest number of a run's stored batches that hold rows."""
+    batched = T.StructType(S.OUTCOMES.fields + [T.StructField("batch", T.IntegerType())])
+    stored = _read_or_empty(spark, batched, lambda: spark.read.schema(batched).parquet(path))
+    last = stored.agg(F.max("batch")).first()[0]  # one number
+    return 0 if last is None else last + 1
+
+
 def _read_or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
     try:
         return read()
@@ -137,19 +152,20 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
-    """All committed checkpoints: ``lastRun, runId``."""
+    """All committed checkpoints: ``lastRun, runId, committedAt``."""
     return _read_or_empty(
         spark, S.CHECKPOINT, lambda: spark.read.schema(S.CHECKPOINT).json(path)
     )
 
 
 def stored_checkpoint(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``last_run``: the checkpoint of the newest run, null without a commit.
+    """One row ``last_run``: the checkpoint that was committed last, null without a commit.
 
-    Run ids must sort by time, as ids with a timestamp do.
-    Commits are appended, never replaced, so a lost writer cannot lose the checkpoint.
+    Commits are appended, never replaced, so a lost writer cannot lose the checkpoint. Their
+    time decides; run ids may have any form. Of equal times the later date counts.
     """
-    return read_commits(spark, path).agg(F.max_by("lastRun", "runId").alias("last_run"))
+    newest = F.struct(F.coalesce("committedAt", F.lit("0001-01-01").cast("timestamp")), "lastRun")
+    return read_commits(spark, path).agg(F.max_by("lastRun", newest).alias("last_run"))
 
 
 def read_checkpoint(spark: SparkSession, path: str, today: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Writers. A repeated write of the same run or batch replaces it and never doubles it."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill import constants as K
@@ -8,14 +8,11 @@ from lexmill.operators.reports import committable
 
 
 def write_documents(documents: DataFrame, path: str, run_id: str) -> None:
-    """Documents of a run as the Parquet partition ``run_id``."""
-    (
-        documents.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+    """Documents of a run as the Parquet partition ``run_id``.
+
+    A run without documents leaves a file without rows, so the table can be read.
+    """
+    documents.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
 
 
 def export_documents(documents: DataFrame, path: str, run_id: str) -> None:
@@ -30,6 +27,23 @@ def append_outcomes(outcomes: DataFrame, path: str, batch: str) -> None:
     outcomes.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
+def clear_outcomes(spark, path: str, schema) -> None:
+    """Drop the outcomes of an earlier start of a run that begins anew."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def write_reasons(reasons: DataFrame, path: str, run_id: str) -> None:
+    """Error reasons of a run, any number of them, as rows ``runId, reason, count``."""
+    reasons.select(F.lit(run_id).alias("runId"), "reason", "count").write.mode("overwrite").parquet(
+        f"{path.rstrip('/')}/run_id={run_id}"
+    )
+
+
+def write_alerts(alerts: DataFrame, path: str, run_id: str) -> None:
+    """Alerts of a run as JSON lines, none if it went well."""
+    alerts.write.mode("overwrite").json(f"{path.rstrip('/')}/run_id={run_id}")
+
+
 def write_run_report(report: DataFrame, path: str, run_id: str) -> None:
     """One report row as JSON, in a folder named by the run."""
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
@@ -38,13 +52,20 @@ def write_run_report(report: DataFrame, path: str, run_id: str) -> None:
 
 
 def commit_checkpoint(
-    report: DataFrame, path: str, today: str, max_rate: float = K.COMMIT_ERROR_RATE
+    report: DataFrame,
+    path: str,
+    today: str | Column,
+    max_rate: float = K.COMMIT_ERROR_RATE,
+    at: Column | None = None,
 ) -> None:
     """Append ``lastRun = today`` if the run's error rate is below ``max_rate``.
 
     The decision is a filter on the one-row report: a bad run appends no row. Read the
-    report back from its table first, so that nothing is computed twice.
+    report back from its table first, so that nothing is computed twice. ``at`` is the time of
+    the commit, now by default; the checkpoint committed last counts.
     """
+    at = F.current_timestamp() if at is None else at
     committable(report, max_rate).select(
-        F.lit(today).alias("lastRun"), "runId"
-    ).coalesce(1).write.mode("append").json(path)
+        F.lit(today).alias("lastRun") if isinstance(today, str) else today.alias("lastRun"),
+        "runId", at.cast("timestamp").alias("committedAt"),
+    ).write.mode("append").json(path)

@@ -27,7 +27,7 @@ def test_fetch_outcomes(spark):
     )
     assert rows(P.fetch_outcome(attempts)) == [
         ("busy", "permanent", 1, "e1"), ("down", "transient", 3, "e3"),
-        ("fourth", "transient", 3, "e3"), ("gone", "permanent", 1, "e1"),
+        ("fourth", "ok", 4, None), ("gone", "permanent", 1, "e1"),
         ("late", "permanent", 2, "e2"), ("moved", "ok", 1, None), ("ok", "ok", 1, None),
         ("retried", "ok", 2, None), ("silent", "transient", 3, "e3"),
     ]
@@ -149,16 +149,19 @@ def test_translation_pair(values):
 
 def test_publication_lookup(spark):
     laws = spark.createDataFrame(
-        [("a", "2020-01-01", 2020, 1), ("b", None, 2020, 1), ("c", None, 2020, 9),
-         ("d", None, None, None)],
-        "document_id STRING, publication_date STRING, issue_year INT, issue_number INT",
+        [("a", "2020-01-01", 2020, 1, None), ("b", None, 2020, 1, None), ("c", None, 2020, 9, None),
+         ("d", None, None, None, None), ("e", None, 2020, None, 12), ("f", None, 2020, None, 1),
+         ("g", None, 2019, None, 12)],
+        "document_id STRING, publication_date STRING, issue_year INT, issue_number INT, issue_page INT",
     )
     issues = spark.createDataFrame(
-        [(2020, 1, "2020-01-15"), (2020, 1, "2020-01-15")],
-        "year INT, number INT, issue_date STRING",
+        [(2020, 1, 5, 9, "2020-01-15"), (2020, 1, 5, 9, "2020-01-15"), (2020, 2, 10, 30, "2020-02-15"),
+         (2020, 12, None, None, "2020-12-15")],
+        "year INT, number INT, first_page INT, last_page INT, issue_date STRING",
     )
     assert rows(L.fill_publication_date(laws, issues), "document_id", "publication_date") == [
-        ("a", "2020-01-01"), ("b", "2020-01-15"), ("c", None), ("d", None),
+        ("a", "2020-01-01"), ("b", "2020-01-15"), ("c", None), ("d", None), ("e", "2020-02-15"),
+        ("f", None), ("g", None),
     ]
 
 

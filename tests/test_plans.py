@@ -100,19 +100,15 @@ def test_hot_key_of_a_join_is_split(spark):
 def test_rows_of_a_large_document_never_meet(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         text = plan(entry.queries()["nested_documents"](spark, SF))
+    # relations are read once and shuffled once, by document and part
     keys = re.findall(r"hashpartitioning\((source_document_id#\d+L?)(, \w+)?", text)
-    assert {rest for _, rest in keys} == {", 4", ", _salt", ", part"}
-    # by document alone only the partial counts are shuffled
-    for line, below in pairwise(text.splitlines()):
-        if re.search(r"Exchange hashpartitioning\(source_document_id#\d+L?, \d", line):
-            assert "partial_count(1)" in below
-
-
-def test_spread(spark):
-    one = spark.range(10).coalesce(1)
-    assert session.spread(one).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 8)
-    assert session.spread(many) is many
+    assert {rest for _, rest in keys} == {", part"}
+    assert text.count("l_partkey#") and len(re.findall(r"FileScan parquet \[l_orderkey", text)) == 1
+
+
+def test_runs_never_read_a_page_again(spark):
+    for name in ("backfill_outcomes", "backfill_requests", "sample_outcomes"):
+        assert "html" not in plan(entry.queries()[name](spark, SF), "optimizedPlan"), name
 
 
 def test_shared_folder_comes_from_the_session(spark):

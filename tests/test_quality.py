@@ -98,7 +98,8 @@ def test_files(spark, tmp_path):
     write(reports, "other.json", {})
 
     by_file, by_report, overall = validate(
-        files.read_documents(spark, str(docs)), files.read_run_reports(spark, str(reports))
+        files.read_documents(spark, str(docs)), files.read_run_reports(spark, str(reports)),
+        str(tmp_path / "verdicts"),
     )
     assert rows(by_file) == [
         ("broken.json", 0, 1, 0, 0, 0, "FAIL schema"),
@@ -124,8 +125,14 @@ def test_files(spark, tmp_path):
     assert rows(Q.date_violations(checked.where("file = 'dates.json'"))) == [
         ("a", "enactment_date", "2020-02-31", "calendar"), ("a", "validity_date", "x", "format"),
     ]
-    assert rows(Q.title_warnings(checked.where("pos is not null")), "file") == [
-        ("dates.json",), ("warn.json",),
+    assert rows(Q.title_warnings(checked), "file") == [("dates.json",), ("warn.json",)]
+    # files with schema violations are not judged further
+    passing = Q.passing_files(checked)
+    assert {r["file"] for r in passing.collect()} == {
+        "dates.json", "empty.json", "ok.json", "twice.json", "warn.json"
+    }
+    assert rows(Q.date_violations(passing, "file"), "file") == [
+        ("dates.json",), ("dates.json",), ("twice.json",),
     ]
 
 

@@ -1,6 +1,8 @@
 """Whole runs with their files."""
 
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from lexmill import schemas as S
 from lexmill.operators import snapshots as U
@@ -31,6 +33,11 @@ PAGES = [
 ]
 
 
+def fields(spark, path, *pages):
+    """The pages, ingested."""
+    return runs.ingest_pages(spark, law_pages(spark, *pages), str(path))
+
+
 def responses(spark):
     text = '{"candidates":[{"content":{"parts":[{"text":"S"}]}}]}'
     return spark.createDataFrame([("a", text)], "document_id STRING, response STRING")
@@ -38,7 +45,7 @@ def responses(spark):
 
 def test_backfill_and_resume(spark, tmp_path):
     out = str(tmp_path)
-    args = (spark, sitemap(spark, *SITES), law_pages(spark, *PAGES), out)
+    args = (spark, sitemap(spark, *SITES), fields(spark, tmp_path / "fields", *PAGES), out)
     report = runs.run_backfill(*args, "backfill_1", "2026-04-10", responses(spark))
     expected = ("backfill_1", "backfill", 4, 2, 1, 2, 0, 2)
     assert tuple(report.first())[:8] == expected
@@ -48,7 +55,8 @@ def test_backfill_and_resume(spark, tmp_path):
     # the same run again replaces its files
     again = runs.run_backfill(*args, "backfill_1", "2026-04-10", responses(spark))
     assert tuple(again.first())[:8] == expected
-    stored = spark.read.schema(S.OUTCOMES).parquet(f"{out}/outcomes/backfill_1")
+    stored = runs.stored_outcomes(spark, out, "backfill_1")
+    assert stored.count() == 4
     # a resumed run leaves out what has an outcome, or tries transient failures again
     for retry, left in ((False, 0), (True, 1)):
         done = U.processed_ids(stored, retry_transient=retry)
@@ -63,7 +71,8 @@ def test_backfill_and_resume(spark, tmp_path):
 def test_export_passes_validation(spark, tmp_path):
     out = str(tmp_path)
     runs.run_backfill(
-        spark, sitemap(spark, *SITES), law_pages(spark, *PAGES), out, "backfill_1", "2026-04-10"
+        spark, sitemap(spark, *SITES), fields(spark, tmp_path / "fields", *PAGES), out, "backfill_1",
+        "2026-04-10",
     )
     documents = spark.read.parquet(f"{out}/documents")
     sinks.export_documents(documents, f"{out}/export", "backfill_1")
@@ -71,6 +80,7 @@ def test_export_passes_validation(spark, tmp_path):
         files.read_document_lines(spark, f"{out}/export/backfill_1"),
         spark.read.text(f"{out}/reports/run_report_backfill_1", wholetext=True)
         .selectExpr("_metadata.file_name AS file", "value AS raw"),
+        f"{out}/verdicts",
     )
     assert {r["verdict"] for r in by_file.collect()} == {"OK"}
     assert {r["verdict"] for r in by_report.collect()} == {"OK"}
@@ -79,7 +89,7 @@ def test_export_passes_validation(spark, tmp_path):
 
 def test_daily(spark, tmp_path):
     out = str(tmp_path)
-    pages = law_pages(spark, *PAGES)
+    pages = fields(spark, tmp_path / "fields", *PAGES)
     # no checkpoint: changes since yesterday less two days, and nothing counts as new
     first = runs.run_daily(
         spark, sitemap(spark, *SITES), pages, out, "daily_1", "2026-04-10"
@@ -89,7 +99,8 @@ def test_daily(spark, tmp_path):
     assert rows(files.stored_checkpoint(spark, control)) == [("2026-04-10",)]
     second = runs.run_daily(
         spark, sitemap(spark, (f"{H}/10042026-b/", "2026-04-10"), *SITES[:1]),
-        law_pages(spark, (f"{H}/10042026-b/", "<h1>B</h1>"), *PAGES[:1]), out, "daily_2", "2026-04-11",
+        fields(spark, tmp_path / "fields2", (f"{H}/10042026-b/", "<h1>B</h1>"), *PAGES[:1]), out,
+        "daily_2", "2026-04-11",
     ).first()
     assert tuple(second)[3:8] == (2, 0, 1, 1, 0)
     # nothing changed: zeros, and the checkpoint moves
@@ -97,17 +108,74 @@ def test_daily(spark, tmp_path):
         spark, sitemap(spark, SITES[3]), pages, out, "daily_3", "2026-04-12"
     ).first()
     assert tuple(third)[2:] == (0, 0, 0, 0, 0, 0, [])
+    assert spark.read.parquet(f"{out}/documents/run_id=daily_3").count() == 0
+    assert spark.read.text(f"{out}/alerts/run_id=daily_3").count() == 0
     assert rows(files.stored_checkpoint(spark, control)) == [("2026-04-12",)]
     # half of the pages failed: the checkpoint stays
     changed = [(f"{H}/01012020-a", "2026-04-12"), (f"{H}/01012020-x", "2026-04-12")]
     runs.run_daily(spark, sitemap(spark, *changed), pages, out, "daily_4", "2026-04-13")
     assert rows(files.stored_checkpoint(spark, control)) == [("2026-04-12",)]
+    assert spark.read.json(f"{out}/alerts/run_id=daily_4").first()["error_rate"] == "50.0%"
+
+
+def test_quorum_stops_a_run_before_it_writes(spark, tmp_path):
+    out = str(tmp_path / "out")
+    known = fields(spark, tmp_path / "fields", *PAGES)
+    good = sitemap(spark, *SITES)
+    broken = spark.createDataFrame([(2, None), (3, "")], "page INT, xml STRING")
+    with pytest.raises(runs.R.QuorumError):
+        runs.run_daily(spark, good.unionByName(broken), known, out, "daily_1", "2026-04-10")
+    assert not (tmp_path / "out").exists()
+    # exactly half may fail
+    half = good.unionByName(broken.limit(1))
+    assert runs.run_backfill(spark, half, known, out, "b", "2026-04-10").first()["fetched"] == 4
+    # the index lists three sitemaps, one is there
+    index = spark.createDataFrame([("<sitemap>" * 3,)], "index_xml STRING")
+    with pytest.raises(runs.R.QuorumError, match="2 of 3"):
+        runs.run_backfill(spark, good, known, out, "b2", "2026-04-10", index=index)
+
+
+def test_fetch_log_decides(spark, tmp_path):
+    log = spark.createDataFrame(
+        [("b", 1, 404, "HTTP 404"), ("a", 1, 503, "HTTP 503"), ("a", 2, 200, None), ("d", 1, 200, None)],
+        "document_id STRING, attempt INT, status INT, error STRING",
+    )
+    report = runs.run_backfill(
+        spark, sitemap(spark, *SITES), fields(spark, tmp_path / "fields", *PAGES), str(tmp_path / "out"),
+        "b", "2026-04-10", attempts=log,
+    ).first()
+    assert [tuple(r) for r in report["topErrorReasons"]] == [
+        ("abrogated", 1), ("http_error_permanent", 1), ("http_error_transient", 1),
+    ]
 
 
-def test_sample(spark):
-    got = runs.sample_outcomes(
-        sitemap(spark, *SITES), law_pages(spark, *PAGES), "2026-04-10", 2
-    )
+def test_aborted_run_goes_on(spark, tmp_path):
+    out, sites = str(tmp_path / "out"), sitemap(spark, *SITES)
+    known = fields(spark, tmp_path / "fields", *PAGES)
+    whole = runs.run_backfill(spark, sites, known, str(tmp_path / "whole"), "b", "2026-04-10").first()
+    work = runs.work_list(spark, runs.current_versions(sites, "2026-04-10"), f"{out}/versions/b")
+    runs.write_work(spark, work, known, out, "b", batches=2, only=[1])
+    before = runs.stored_outcomes(spark, out, "b").count()
+    report = runs.run_backfill(spark, sites, known, out, "b", "2026-04-10", batches=2, resume=True)
+    assert report.first() == whole and before < 4
+    assert runs.stored_outcomes(spark, out, "b").count() == 4
+    # resumed again, nothing is left to do and nothing is lost
+    again = runs.run_backfill(spark, sites, known, out, "b", "2026-04-10", resume=True)
+    assert again.first() == whole
+
+
+def test_newest_fetch_of_a_page_counts(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [("u", "<h1>Old</h1>", "2026-01-01"), ("u", "<h1>New</h1>", "2026-02-01"), ("v", None, None)],
+        "url STRING, html STRING, fetched_at STRING",
+    ).withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+    got = runs.ingest_pages(spark, pages, str(tmp_path / "fields"))
+    assert rows(got, "url", "title") == [("u", "New"), ("v", None)]
+
+
+def test_sample(spark, tmp_path):
+    known = fields(spark, tmp_path / "fields", *PAGES)
+    got = runs.sample_outcomes(sitemap(spark, *SITES), known, "2026-04-10", 2)
     assert rows(got, "document_id", "kind") == [("a", "document"), ("b", "document")]
 
 
@@ -117,16 +185,3 @@ def test_page_scans(spark, tmp_path):
     frame = spark.createDataFrame([("a", "gesetz", "u", "2020-01-01", "x")], S.LAW_PAGES)
     frame.write.parquet(str(tmp_path / "pages"))
     assert rows(files.read_pages(spark, str(tmp_path / "pages"))) == rows(frame)
-
-
-def test_pages_are_picked_before_their_text_is_read(spark, tmp_path):
-    pages = law_pages(spark, *PAGES)
-    versions = spark.createDataFrame([(f"{H}/01012020-a", "a")], "url STRING, document_id STRING")
-    work = runs.work_list(spark, versions, str(tmp_path / "work"))
-    few = runs.needed_pages(pages, work)
-    assert rows(few) == [PAGES[0]]
-    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
-    # too many addresses to broadcast: every page stays, none is lost
-    assert runs.needed_pages(pages, work, max_rows=0).count() == len(PAGES)
-    empty = runs.work_list(spark, versions.limit(0), str(tmp_path / "empty"))
-    assert runs.needed_pages(pages, empty).count() == 0
