@@ -494,6 +494,11 @@ CHECKS: dict[str, str] = {
           SELECT *, CASE WHEN NOT has_page THEN 'transient' END AS error_type,
             CAST(NULL AS VARCHAR) AS summary FROM f)
         {_outcomes('y', NO_PAGE)}""",
+    "stream_rejected": """SELECT 0 AS published, count(*) FILTER (WHERE o_orderpriority <= '3-MEDIUM') * 2
+          >= count(*) AS stopped FROM orders""",
+    "stored_pages": f"WITH {FIELDS} SELECT document_id, url, has_page FROM f",
+    "stored_documents": f"WITH {FIELDS} SELECT document_id, url FROM f",
+    "stored_processed": "SELECT DISTINCT 'law-' || (c_custkey // 2) AS document_id FROM customer",
     "stream_dedup_events": "SELECT event_id, user_id, event_type FROM events",
     "stream_daily_error_rate": f"""SELECT strftime(ts, {ISO}) AS day, count(*) AS fetched,
           count(*) FILTER (WHERE event_type = 'error') AS errors,

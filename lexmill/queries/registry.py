@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -542,6 +543,40 @@ def publication_lookup(spark, sf):
     )
 
 
+# --- stored files ---------------------------------------------------------------------
+
+
+@query
+def stored_pages(spark, sf):
+    path = run_path(spark, "pages")
+    raw.law_pages(spark, sf).write.parquet(path)
+    return files.read_pages(spark, path).select("document_id", "url", F.col("html").isNotNull().alias("has_page"))
+
+
+@query
+def stored_documents(spark, sf):
+    """Documents of two runs, exported as lines and read back together."""
+    path = run_path(spark, "export")
+    acts = raw.order_acts(spark, sf).withColumn("legal_act_relations", F.array().cast(S.RELATIONS))
+    even = F.col("legal_act.title_short").isNotNull()
+    for run, rows in (("a", acts.where(even)), ("b", acts.where(~even))):
+        sinks.export_documents(rows, path, run)
+    lines = files.read_document_lines(spark, f"{path}/a", f"{path}/b")
+    act = F.from_json("raw", S.DOCUMENT)["legal_act"]
+    return lines.select(act["document_id"].alias("document_id"), act["url"].alias("url"))
+
+
+@query
+def stored_processed(spark, sf):
+    """Ids of a progress file with blank lines, some written twice."""
+    path = run_path(spark, "processed")
+    lines = raw.table(spark, sf, "customer").select(
+        F.explode(F.array(F.lit(""), raw.text("law-", F.floor(F.col("c_custkey") / 2)))).alias("value")
+    )
+    lines.write.text(path)
+    return files.read_processed(spark, path)
+
+
 # --- snapshots and relations ---------------------------------------------------------
 
 
@@ -628,6 +663,21 @@ def stream_outcomes(spark, sf):
     return _flat_outcomes(spark.read.parquet(out))
 
 
+@query
+def stream_rejected(spark, sf):
+    """A batch with too many errors: the stream stops and publishes nothing."""
+    out, checkpoint = _fresh(spark, "rejected")
+    failed = F.when(F.col("priority") <= "3-MEDIUM", "error").otherwise("document")
+    orders = raw.short_orders(_stream(spark, sf, "orders")).select("k", failed.alias("kind"))
+    try:
+        jobs.write_batches(orders, out, checkpoint, guard=0.5).awaitTermination()
+        stopped = False
+    except StreamingQueryException as error:
+        stopped = "BatchRejected" in str(error)
+    published = files.rows_or_none(spark, out, orders.schema)
+    return published.agg(F.count(F.lit(1)).alias("published")).withColumn("stopped", F.lit(stopped))
+
+
 @query
 def stream_dedup_events(spark, sf):
     """Every event delivered twice, kept once."""
@@ -668,4 +718,6 @@ def stream_latest(spark, sf):
     )
     job = jobs.latest_stream(orders, out, checkpoint)
     job.awaitTermination()
-    return jobs.latest_state(spark.read.parquet(out)).select("document_id", "entry_date", "page")
+    jobs.compact_latest(spark, out, f"{out}-snapshots", orders.schema)
+    state = jobs.read_latest(spark, out, f"{out}-snapshots", orders.schema)
+    return state.select("document_id", "entry_date", "page")

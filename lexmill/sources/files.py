@@ -118,6 +118,11 @@ def read_run_reports(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def rows_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Stored rows; none if nothing was written there."""
+    return _read_or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
+
+
 def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
     """Outcomes of a run over all its batches; empty if it has none."""
     return _read_or_empty(

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,20 +77,18 @@ def write_batches(
     """Work off the stream; each batch goes to its own folder ``batch_id=N`` under ``out``.
 
     A replayed batch overwrites its own folder, so every row is stored once. With ``guard``
-    the transformed batch must have outcome rows and is checked before the write.
+    the transformed batch must have outcome rows; it is stored in a folder beside ``out``,
+    checked there and published after, so nothing is computed twice or kept in memory.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch)
+        rows, name = transform(batch), f"{BATCH}={batch_id}"
         if guard is not None:
-            rows = rows.persist()
-        try:
-            if guard is not None:
-                guarded_batch(rows, batch_id, guard)
-            rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{BATCH}={batch_id}")
-        finally:
-            if guard is not None:
-                rows.unpersist()
+            staged = f"{out.rstrip('/')}-staged/{name}"
+            rows.write.mode("overwrite").parquet(staged)
+            rows = batch.sparkSession.read.schema(rows.schema).parquet(staged)
+            guarded_batch(rows, batch_id, guard)
+        rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -133,6 +132,42 @@ def latest_state(
     return latest_version(changes, key, order, seen).drop(BATCH)
 
 
+def compact_latest(spark: SparkSession, out: str, snapshots: str, schema: T.StructType) -> None:
+    """Merge a change log into a new snapshot ``upto=N``; later reads need no older batch.
+
+    Run it between starts of the stream, every so many batches. Older snapshots and the log
+    stay, so a lost writer loses nothing.
+    """
+    log = read_batches(spark, out, schema)
+    upto = log.agg(F.max(BATCH)).first()[0]  # one number
+    if upto is not None:
+        state = latest_state(_since_snapshot(spark, log, snapshots, schema))
+        state.write.mode("overwrite").parquet(f"{snapshots.rstrip('/')}/upto={upto}")
+
+
+def read_latest(spark: SparkSession, out: str, snapshots: str, schema: T.StructType) -> DataFrame:
+    """State of a change log: its newest snapshot and the batches after it."""
+    return latest_state(_since_snapshot(spark, read_batches(spark, out, schema), snapshots, schema))
+
+
+def _since_snapshot(
+    spark: SparkSession, log: DataFrame, snapshots: str, schema: T.StructType
+) -> DataFrame:
+    full = T.StructType(schema.fields + [T.StructField("upto", T.LongType())])
+    try:
+        stored = spark.read.schema(full).parquet(snapshots)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return log
+    upto = stored.agg(F.max("upto")).first()[0]  # one number
+    if upto is None:
+        return log
+    # rows of a snapshot count as seen before those of any later batch
+    old = stored.where(F.col("upto") == upto).drop("upto").withColumn(BATCH, F.lit(-1).cast("long"))
+    return old.unionByName(log.where(F.col(BATCH) > upto))
+
+
 def latest_update(changes: DataFrame, key: str) -> DataFrame:
     """Last state of each key of an update-mode result."""
     values = [c for c in changes.columns if c not in (key, BATCH)]

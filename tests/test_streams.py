@@ -39,6 +39,18 @@ def test_ingest_goes_on_where_it_stopped(spark, tmp_path):
     assert rows(run().where("batch_id = 2"), "document_id") == [("c",)]
 
 
+def test_compacted_log_has_the_same_state(spark, tmp_path):
+    source, out, check, shots = (str(tmp_path / n) for n in ("in", "out", "check", "shots"))
+    for n, row in enumerate([("a", "2020", "1", 1, 0), ("b", "2020", "1", 2, 0), ("a", "2021", "1", 3, 0)]):
+        put(spark, source, ENTRIES, row)
+        jobs.latest_stream(jobs.ingest_stream(spark, source, ENTRIES), out, check).awaitTermination()
+        if n != 1:
+            jobs.compact_latest(spark, out, shots, ENTRIES)
+        state = jobs.read_latest(spark, out, shots, ENTRIES)
+        assert rows(state) == rows(jobs.latest_state(jobs.read_batches(spark, out, ENTRIES)))
+    assert rows(state, "document_id", "entry_date") == [("a", "2021"), ("b", "2020")]
+
+
 def test_bad_batch_is_replayed(spark, tmp_path):
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     good = {"pages": False}
