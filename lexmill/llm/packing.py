@@ -10,6 +10,7 @@ windows rises as long as one of them exceeds the capacity.
 import heapq
 import struct
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +49,6 @@ class WordIds(dict):
         super().__init__()
         self.path, self.tokenizer = path, None
 
-    def __reduce__(self):
-        return (WordIds, (self.path,))
-
     def load(self) -> "WordIds":
         if self.tokenizer is None:
             self.tokenizer = Tokenizer.from_file(self.path)
@@ -180,11 +178,13 @@ def pack(
     rows are packed as often as they come, null ids stay null. ``sequence_id`` is unique over
     all tasks; its offsets run from 0 without gaps. No documents: no rows.
     """
-    words = docs.sparkSession.sparkContext.broadcast(WordIds(tokenizer_path))
+    # what is broadcast stays with a worker, and so do the words it has met
+    kept = docs.sparkSession.sparkContext.broadcast(SimpleNamespace(words=None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a worker keeps what was broadcast, and with it the words it has met
-        table = words.value.load()
+        if kept.value.words is None:
+            kept.value.words = WordIds(tokenizer_path).load()
+        table = kept.value.words
         base = TaskContext.get().partitionId() << 40
         emit = _Pieces(id_col, schema)
         rest: list[tuple] = []

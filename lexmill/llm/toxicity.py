@@ -180,11 +180,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     Repeated rows come out as often as they came in, null ids stay null. No documents: no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array([shared.value.score(t.as_py()) for t in batch.column(1)], pa.float64())
+            scores = pa.array([model.score(t.as_py()) for t in batch.column(1)], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=[id_col, "score"])
 
     frame = docs.select(F.col(id_col), F.col(text_col))
