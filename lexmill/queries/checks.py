@@ -371,8 +371,9 @@ CHECKS: dict[str, str] = {
           {MASKED} FROM f""",
     "backfill_run": BACKFILL_REPORT,
     "resumed_run": BACKFILL_REPORT,
-    "empty_daily_run": f"""SELECT 'daily_1' AS runId, 'daily' AS mode, 0 AS fetched, 0 AS extracted,
-          0 AS enriched, 0 AS newDocuments, 0 AS updatedDocuments, 0 AS errors,
+    "empty_daily_run": f"""SELECT 'daily_1' AS runId, 'daily' AS mode, 0::BIGINT AS fetched,
+          0::BIGINT AS extracted, 0::BIGINT AS enriched, 0::BIGINT AS newDocuments,
+          0::BIGINT AS updatedDocuments, 0::BIGINT AS errors,
           '' AS topErrorReasons, '{TODAY}' AS checkpoint, 0 AS documents""",
     "run_quorum": f"""WITH q AS (SELECT count(*) AS total, count(*) FILTER (
             WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) AS failed FROM orders)
@@ -494,7 +495,7 @@ CHECKS: dict[str, str] = {
           SELECT *, CASE WHEN NOT has_page THEN 'transient' END AS error_type,
             CAST(NULL AS VARCHAR) AS summary FROM f)
         {_outcomes('y', NO_PAGE)}""",
-    "stream_rejected": """SELECT 0 AS published, count(*) FILTER (WHERE o_orderpriority <= '3-MEDIUM') * 2
+    "stream_rejected": """SELECT 0::BIGINT AS published, count(*) FILTER (WHERE o_orderpriority <= '3-MEDIUM') * 2
           >= count(*) AS stopped FROM orders""",
     "stored_pages": f"WITH {FIELDS} SELECT document_id, url, has_page FROM f",
     "stored_documents": f"WITH {FIELDS} SELECT document_id, url FROM f",

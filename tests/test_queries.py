@@ -6,7 +6,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from lexmill.queries.checks import CHECKS
+from lexmill.queries.registry import QUERIES
 
 SF = Path("/root/testdata/sf0.001")
 
@@ -20,14 +21,14 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    frame = entry.queries()[name](spark, str(SF))
+    frame = QUERIES[name](spark, str(SF))
     columns = sorted(frame.columns)
-    cursor = db.execute(entry.oracle_sql()[name])
+    cursor = db.execute(CHECKS[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
