@@ -499,6 +499,12 @@ CHECKS: dict[str, str] = {
           >= count(*) AS stopped FROM orders""",
     "stored_pages": f"WITH {FIELDS} SELECT document_id, url, has_page FROM f",
     "stored_documents": f"WITH {FIELDS} SELECT document_id, url FROM f",
+    "stored_reports": f"""WITH {LINES}, n AS (SELECT count(*) FILTER (WHERE kind = 'document') AS docs,
+          count(*) FILTER (WHERE entry_into_force_date >= '{LAST_RUN}') AS recent,
+          count(*) FILTER (WHERE kind <> 'document') AS errors FROM c)
+        SELECT 'run_report_a' AS file, 'a' AS runId, 'backfill' AS mode, docs AS newDocuments, errors,
+          'OK' AS verdict FROM n
+        UNION ALL SELECT 'run_report_b', 'b', 'daily', recent, errors, 'OK' FROM n""",
     "stored_processed": "SELECT DISTINCT 'law-' || (c_custkey // 2) AS document_id FROM customer",
     "stream_dedup_events": "SELECT event_id, user_id, event_type FROM events",
     "stream_daily_error_rate": f"""SELECT strftime(ts, {ISO}) AS day, count(*) AS fetched,

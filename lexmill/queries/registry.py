@@ -566,6 +566,20 @@ def stored_documents(spark, sf):
     return lines.select(act["document_id"].alias("document_id"), act["url"].alias("url"))
 
 
+@query
+def stored_reports(spark, sf):
+    """Reports of a backfill and a daily run, written, read back and judged."""
+    path = run_path(spark, "reports")
+    outcomes = files.parse_outcomes(raw.accumulator_lines(spark, sf))
+    for run, mode in (("a", "backfill"), ("b", "daily")):
+        report = R.nest_report(R.run_report(outcomes, mode, run, raw.LAST_RUN))
+        sinks.write_run_report(report, path, run)
+    read = files.read_written_reports(spark, path)
+    parsed = F.from_json("raw", S.RUN_REPORT)
+    fields = [parsed[c].alias(c) for c in ("runId", "mode", "newDocuments", "errors")]
+    return read.select("file", *fields).join(Q.report_verdicts(read).select("file", "verdict"), "file")
+
+
 @query
 def stored_processed(spark, sf):
     """Ids of a progress file with blank lines, some written twice."""

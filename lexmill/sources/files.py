@@ -138,6 +138,14 @@ def batch_count(spark: SparkSession, path: str) -> int:
     return 0 if last is None else last + 1
 
 
+def read_written_reports(spark: SparkSession, path: str) -> DataFrame:
+    """Raw reports of runs as :func:`write_run_report` stores them: ``file, raw``, by folder name."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), "/(run_report_[^/]*)/[^/]*$", 1)
+    return spark.read.text(f"{path.rstrip('/')}/run_report_*", wholetext=True).select(
+        name.alias("file"), F.col("value").alias("raw")
+    )
+
+
 def _read_or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
     try:
         return read()
