@@ -2,9 +2,10 @@
 
 Features are hashed byte n-grams of the whole lower-cased text. Linear support vector machines,
 one against one, tell families apart and then the languages of the chosen family. They are
-fitted on the driver from a bounded sample of labelled rows.
+fitted in one task from a bounded sample of labelled rows; the driver gets their weights only.
 """
 
+import pickle
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -55,13 +56,14 @@ def fit_svm(x: np.ndarray, y: np.ndarray, steps: int = 150, strength: float = 1e
 
     Both classes weigh the same. Accelerated gradient steps; nothing is random.
     """
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    w = v = np.zeros(x.shape[1])
+    w = v = np.zeros(x.shape[1] + 1)
     rate = 1 / (2 * 2.0 + strength)
     for t in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ v))
-        gradient = strength * v - 2 * (x.T @ (weight * y * slack))
+        # vectors of the type of x, so that x is never copied
+        slack = np.maximum(0, 1 - y * (x @ v[:-1].astype(x.dtype) + v[-1]))
+        pull = weight * y * slack
+        gradient = strength * v - 2 * np.r_[pull.astype(x.dtype) @ x, pull.sum()]
         nxt = v - rate * gradient
         v = nxt + t / (t + 3) * (nxt - w)
         w = nxt
@@ -120,7 +122,7 @@ def fit(
     """Fit on a sample of about ``per_language`` labelled rows of each language.
 
     The sample is drawn by a hash of the id, at a rate by language from counts over all rows;
-    at most ``2 * per_language`` rows of a language come to the driver, as feature vectors.
+    at most ``2 * per_language`` rows of a language come to the fitting task, as feature vectors.
     Null and letterless texts and null languages teach nothing. Without rows every prediction
     is ``UNKNOWN``.
     """
@@ -145,13 +147,25 @@ def fit(
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "h", "x"])
 
     found = drawn.mapInArrow(run, "lang string, h long, x binary")
-    sample, taken = [], dict.fromkeys(counts, 0)
-    for r in sorted(found.collect(), key=lambda r: (r.h, r.lang, bytes(r.x))):
-        if taken[r.lang] < 2 * per_language:
-            taken[r.lang] += 1
-            sample.append(r)
-    x = np.array([np.frombuffer(r.x, dtype=np.float16) for r in sample], dtype=np.float32).reshape(-1, FEATURES)
-    return Model(x, [r.lang for r in sample])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        sample, taken = [], dict.fromkeys(counts, 0)
+        for lang, _, x in sorted(rows, key=lambda r: (r[1], r[0], r[2])):
+            if taken[lang] < 2 * per_language:
+                taken[lang] += 1
+                sample.append((lang, x))
+        x = np.zeros((len(sample), FEATURES), np.float32)
+        for i, (_, own) in enumerate(sample):
+            x[i] = np.frombuffer(own, dtype=np.float16)
+        state = vars(Model(x, [s[0] for s in sample]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state)], pa.binary())], names=["model"])
+
+    state = found.repartition(1).mapInArrow(learn, "model binary").first()
+    model = Model(np.zeros((0, FEATURES), np.float32), [])
+    if state is not None:
+        vars(model).update(pickle.loads(state.model))
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
