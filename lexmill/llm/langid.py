@@ -174,11 +174,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     Null texts and texts without a letter are ``und`` with score 0. Repeated rows come out as
     often as they came in, null ids stay null. No documents: no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column(1)]
+            found = [model.predict(t.as_py()) for t in batch.column(1)]
             columns = [
                 batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
             ]
@@ -190,12 +189,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
     """The documents that have a language, with a score of ``least`` or more; columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column(at)]
+            found = [model.predict(t.as_py()) for t in batch.column(at)]
             yield batch.filter(pa.array([g != UNKNOWN and s >= least for g, s in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
