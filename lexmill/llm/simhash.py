@@ -263,7 +263,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows that share that id count as repeats and leave one row. Rows without an id stay.
     """
-    found = near_duplicates(docs, id_col, text_col)
+    return keep_first(docs, near_duplicates(docs, id_col, text_col), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents that are the first of their component, a row for each such id; and rows without an id."""
     kept = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
     order = Window.partitionBy(id_col).orderBy(text_col)
     once = (
