@@ -78,3 +78,23 @@ def test_long_texts_count_whole():
     counts = np.bincount(pair >> np.uint32(22), minlength=1024)
     got = L.features(long)[L.BUCKETS :].astype(float) ** 2
     assert np.allclose(got / got.sum(), counts / counts.sum(), rtol=0.05, atol=1e-4)
+
+
+def test_stage_rejects_undecided_and_keeps_all_without_labels(spark):
+    import corpus_pipeline
+    from tests.llm.helpers import docs
+
+    words = {"en": "the and of ing tion", "de": "der und ung ein sch", "fr": "les eau oui des ment", "es": "del ción ado los que"}
+    languages = [g for g in words for _ in range(20)]
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(words[g].split(), k=rng.choice([2, 5, 60]))) for g in languages]
+    model = L.Model(np.stack([L.features(t) for t in texts]), languages)
+    frame = docs(spark, [*texts, "123", None])
+    assert sorted(r.doc_id for r in L.keep_known(frame, model).collect()) == list(range(len(texts)))
+    for machines in (model.between, *model.within.values()):
+        for pair in machines:
+            machines[pair] = np.zeros_like(machines[pair])
+    assert L.keep_known(frame, model).count() == 0  # tied in both steps: 0.25
+    unlabelled = frame.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.keep_known_languages(spark, unlabelled, "")
+    assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == list(range(len(texts)))
