@@ -131,11 +131,11 @@ def base_spans(text: str) -> list[tuple]:
 
 
 def guessed_spans(text: str, base: list[tuple], bits: float = GUESS_BITS) -> list[tuple]:
-    """Values in a credential context that no base span touches and that take ``bits`` or more."""
+    """Values in a credential context that take ``bits`` or more and that no base span holds whole."""
     found = []
     for m in CONTEXT.finditer(text):
         start, end = next(m.span(k) for k in (1, 2, 3) if m[k] is not None)
-        if any(s < end and start < e for _, s, e, _, _ in base):
+        if any(s <= start and end <= e for _, s, e, _, _ in base):
             continue
         if guess_bits(text[start:end]) >= bits:
             found.append(("guess", m.start(), end, start, end))

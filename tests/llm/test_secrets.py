@@ -116,3 +116,15 @@ def test_redaction(spark):
     assert S.redact(frame.where("false")).count() == 0 and S.find_secrets(frame.where("false")).count() == 0
     twice = frame.unionByName(frame.withColumn("doc_id", F.lit(None).cast("long")))
     assert S.find_secrets(twice).count() == 2 * len(TEXTS)
+
+
+def guessed(text):
+    return [text[s[3] : s[4]] for s in S.spans(text) if s[0] == "guess"]
+
+
+def test_values_that_reach_beyond_a_base_span():
+    text = 'password = "Tr0ub4dor&9xQz!" end'
+    assert [s[0] for s in S.spans(text)] == ["assign", "guess"] and guessed(text) == ["Tr0ub4dor&9xQz!"]
+    assert S.redacted(text) == 'password = "[SECRET]" end'
+    assert S.redacted("api_key=abcdef12#Zq8$vL9@pR;") == "api_key=[SECRET];"
+    assert guessed('token = "Tr0ub4dor9xQzw7"') == [] and guessed('secret: "password&love"') == []
