@@ -26,8 +26,9 @@ SCHEMA = "kind string, start long, end long, value_start long, value_end long, g
 #: A name that announces a credential, and what is assigned to it or follows it.
 CONTEXT = re.compile(
     r"(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|(?:access|private|signing|encryption)[_-]?key"
-    r"|credentials?|authorization|bearer)[\w-]*[\"']?(?:\s{0,4}(?:[:=]|=>|:=)\s{0,4}|\s(?=bearer|basic))"
-    r"(?:(?:bearer|basic)\s)?(?:\"([^\"\s]{6,})\"|'([^'\s]{6,})'|([^\s\"'<>,;(){}\[\]]{6,}))",
+    r"|credentials?|authorization|bearer)[\w-]*+[\"']?"
+    r"(?:(?:[^\S\r\n]*+|\s{0,4})(?:=>|:=|[:=])(?:[^\S\r\n]*+|\s{0,4})|\s(?=bearer|basic))"
+    r"(?:(?:bearer|basic)\s)?(?:\"([^\"\r\n]{6,})\"|'([^'\r\n]{6,})'|([^\s\"'<>,;(){}\[\]]{6,}))",
     re.ASCII | re.IGNORECASE,
 )
 CUES = (b"password", b"passwd", b"passphrase", b"passcode", b"pwd", b"secret", b"token", b"api", b"key",

@@ -128,3 +128,11 @@ def test_values_that_reach_beyond_a_base_span():
     assert S.redacted(text) == 'password = "[SECRET]" end'
     assert S.redacted("api_key=abcdef12#Zq8$vL9@pR;") == "api_key=[SECRET];"
     assert guessed('token = "Tr0ub4dor9xQzw7"') == [] and guessed('secret: "password&love"') == []
+
+
+def test_aligned_signs_and_values_with_blanks():
+    text = 'pwd          = "X9$fK2!qW7#zL"\npassphrase = "zebra quantum 9kX lamp"\n'
+    assert guessed(text) == ["X9$fK2!qW7#zL", "zebra quantum 9kX lamp"]
+    assert S.redacted(text) == 'pwd          = "[SECRET]"\npassphrase = "[SECRET]"\n'
+    assert guessed('pwd\t:=\t\t\t\t\t\t\'a b#9 Qx!7Zk\'') == ["a b#9 Qx!7Zk"] and guessed('pwd:\n  "X9$fK2!qW7#zL"') == ["X9$fK2!qW7#zL"]
+    assert guessed('pwd = "open X9$fK2\n!qW7#zL"') == [] and S.spans("pwd" + " " * 200_000 + "pwd" * 20_000) == []
