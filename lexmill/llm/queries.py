@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import langid, lzdedup, mixing, nearest, packing, phrases, secrets, simhash, toxicity, wrapper
+from lexmill.llm import alignment, langid, lzdedup, mixing, nearest, packing, phrases, secrets, simhash, toxicity, wrapper
 from lexmill.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,12 @@ def op9_mixing(spark, sf):
 def op10_main_text(spark, sf):
     found = wrapper.extract_main_text(table(spark, sf, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op11_token_alignment(spark, sf):
+    found = alignment.align(
+        table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest=True,
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
