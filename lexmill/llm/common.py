@@ -27,6 +27,17 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").split()
 
 
+_ALNUM = bytes(
+    c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
+    for c in range(256)
+)
+
+
+def alnum_words(text: str | None) -> list[bytes]:
+    """Maximal runs of ASCII letters, digits and non-ASCII characters as UTF-8, A-Z in lower case."""
+    return (text or "").encode("utf-8", "replace").translate(_ALNUM).split()
+
+
 def held_out(doc_id: str, folds: int, fold: int):
     """True where crc32 of the id as text leaves ``fold`` modulo ``folds``; null id: false."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))

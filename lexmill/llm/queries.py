@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import alignment, langid, lzdedup, mixing, nearest, packing, phrases, secrets, simhash, toxicity, wrapper
+from lexmill.llm import (
+    alignment, langid, licenses, lzdedup, mixing, nearest, packing, phrases, ranked, secrets, simhash, toxicity, wrapper,
+)
 from lexmill.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +109,44 @@ def op11_token_alignment(spark, sf):
         public_tokenizers.path("piece_bpe_32k.model"), digest=True,
     )
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op12_license_scan(spark, sf):
+    found = licenses.scan_licenses(table(spark, sf, "documents"))
+    joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return found.withColumns(joined).withColumn("expressions", F.array_join("expressions", ";"))
+
+
+@query
+def op13_ranked_search(spark, sf):
+    return ranked.search(table(spark, sf, "benchmark"), table(spark, sf, "documents"))
+
+
+CHECKS["op13_ranked_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc_id),
+totals AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term, nn),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(
+      w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nn) // ll))))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
