@@ -32,9 +32,9 @@ from tokenizers import Tokenizer
 from lexmill.llm.common import stored
 from lexmill.llm.packing import byte_letters
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 BULK_CHARS = 50_000
-MOST_SEGMENTS = 400_000
+MOST_SEGMENTS = 150_000
 CHUNK = 256
 SPACE_MARK = "▁"
 
