@@ -212,18 +212,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The documents as often as the mix takes them: 0, 1 or 2 times, otherwise unchanged.
 
     Rows that share an id take the copies of one of them each, so a repeated row is taken as
-    often as its repeats are together.
+    often as its repeats are together. Other columns may have any name.
     """
     rates = mix_rates(docs, id_col, text_col, source_col)
     copies = rates.groupBy(F.col(id_col).alias("_id")).agg(
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
     )
+    # the given row travels as one column, so its names clash with nothing here
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("_key"), F.xxhash64(text_col).alias("_hash")
+    )
     repeats = Window.partitionBy("_key").orderBy("_hash")
-    keyed = docs.withColumns({"_key": F.col(id_col), "_hash": F.xxhash64(text_col)})
     joined = keyed.join(copies, F.col("_key").eqNullSafe(F.col("_id"))).withColumn(
         "_row", F.row_number().over(repeats) - 1
     )
     own = F.floor(F.col("_copies") * (F.col("_row") + 1) / F.col("_rows")) - F.floor(
         F.col("_copies") * F.col("_row") / F.col("_rows")
     )
-    return joined.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), own.cast("int"))).alias("_copy")).drop("_copy")
+    return joined.select("doc", F.explode(F.array_repeat(F.lit(1), own.cast("int")))).select("doc.*")

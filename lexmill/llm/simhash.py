@@ -268,12 +268,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def keep_first(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The documents that are the first of their component, a row for each such id; and rows without an id."""
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    order = Window.partitionBy(id_col).orderBy(text_col)
-    once = (
-        docs.join(kept, id_col, "left_semi")
-        .withColumn("_row", F.row_number().over(order))
-        .where("_row = 1")
-        .select(*docs.columns)
-    )
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
+    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
+    # the given row travels as one column, so its names clash with nothing here
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    order = Window.partitionBy("_id").orderBy("_text")
+    once = keyed.join(kept, "_id", "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1")
+    return once.select("doc.*").unionByName(docs.where(F.col(id_col).isNull()))

@@ -92,3 +92,11 @@ def test_odd_rows(spark):
     assert M.mix_rates(frame.where("false")).count() == 0 and M.mix(frame.where("false")).count() == 0
     blank = M.mix_rates(docs(spark, [None, ""])).collect()
     assert [(r.target, r.size) for r in blank] == [(0.0, 0)] * 2
+
+
+def test_clashing_columns(spark):
+    frame = docs(spark, ["a b c"] * 9).withColumns({c: F.col("doc_id") + 7 for c in ("_row", "_id", "_copies", "_hash", "_key", "doc")})
+    mixed = M.mix(frame)
+    assert mixed.columns == frame.columns
+    given = {tuple(r) for r in frame.collect()}
+    assert all(tuple(r) in given for r in mixed.collect()) and mixed.count() > 0

@@ -121,3 +121,10 @@ def test_one_document_of_each_group_stays(spark):
 
 def test_empty_table(spark):
     assert S.near_duplicates(docs(spark, ["a"]).where("false")).count() == 0
+
+
+def test_clashing_columns(spark):
+    frame = docs(spark, ["a b c", "a b c", "other words here"]).withColumns({c: F.col("doc_id") + 7 for c in ("_row", "_id", "_text", "doc")})
+    kept = S.drop_near_duplicates(frame)
+    assert kept.columns == frame.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, frame.where("doc_id <> 1").collect()))
