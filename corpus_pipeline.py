@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import copies, langid, mixing, packing, secrets
+from lexmill.llm import langid, mixing, packing, secrets, simhash
 from lexmill.llm.common import held_out, stored, table
 
 
@@ -17,8 +17,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
-    return copies.drop_near_copies(docs)
+    """One document of each group stays: fingerprints of three-word shingles linked at three bits or fewer."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
