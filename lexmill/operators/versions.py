@@ -10,6 +10,11 @@ SEEN = ("page", "pos")
 KEY = ("document_id",)
 
 
+def first_seen_key(place: str) -> Column:
+    """Rank by which the smaller place is the greater, as a last key of an order."""
+    return -F.col(place)
+
+
 def drop_future(entries: DataFrame, today: str) -> DataFrame:
     """Drop versions that start after ``today``; ISO strings compare as text."""
     return entries.where(F.col("entry_date") <= F.lit(today))

@@ -66,6 +66,19 @@ def guarded_batch(batch: DataFrame, batch_id: int, limit: float = K.COMMIT_ERROR
         raise BatchRejected(f"batch {batch_id}: {row['errors']} of {row['fetched']} failed")
 
 
+def each_batch(
+    stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], output_mode: str = "append"
+) -> StreamingQuery:
+    """Work off the stream and call ``write(batch, batch_id)`` for each batch."""
+    return (
+        stream.writeStream.foreachBatch(write)
+        .outputMode(output_mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def write_batches(
     stream: DataFrame,
     out: str,
@@ -90,13 +103,7 @@ def write_batches(
             guarded_batch(rows, batch_id, guard)
         rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
 
-    return (
-        stream.writeStream.foreachBatch(write)
-        .outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return each_batch(stream, checkpoint, write, output_mode)
 
 
 def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
