@@ -101,7 +101,8 @@ def dedup_outcomes(outcome_rows: DataFrame) -> DataFrame:
     rank = F.struct(
         (F.col("kind") == "document").alias("d"),
         F.col("legal_act.summary").isNotNull().alias("s"),
-        F.coalesce(F.to_json("legal_act"), F.col("reason")).alias("t"),
+        "reason",
+        F.xxhash64("legal_act", "message").alias("t"),
     )
     keep = [c for c in outcome_rows.columns if c != "document_id"]
     single = (

@@ -2,9 +2,15 @@
 
 Pages are looked at once, by :func:`ingest_pages`, which stores their fields and text without the
 HTML. Runs join that narrow table and never read a page again.
+
+A run works its list off in lots. Each lot is written under a token of the attempt, and its
+progress names the token once it is whole; a resumed run leaves out the documents of finished lots
+and does the rest, whatever an aborted attempt left behind.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill import schemas as S
@@ -13,11 +19,13 @@ from lexmill.operators import enrich as E
 from lexmill.operators import reports as R
 from lexmill.operators.pages import extract_laws, fetch_outcome, with_legal_type
 from lexmill.operators.snapshots import processed_ids
-from lexmill.operators.versions import drop_future, resume as leave_out, sample_laws
+from lexmill.operators.versions import RowCounts, drop_future, resume as leave_out, sample_laws
 from lexmill.plans.versions import changed_versions, current_versions
 from lexmill.sources import files, sinks
 from lexmill.sources.sitemaps import count_sitemaps, law_entries
 
+ROWS_PER_LOT = 1_000_000
+
 
 def ingest_pages(spark: SparkSession, pages: DataFrame, path: str) -> DataFrame:
     """Extract stored pages ``url, html`` once and store the result: ``url``, fields, whole text.
@@ -107,9 +115,21 @@ def run_outcomes(
     return E.outcomes(with_fields(summarised, fields, attempts, with_text=False))
 
 
+def _progress(out: str, run_id: str) -> str:
+    return f"{out.rstrip('/')}/progress/{run_id}"
+
+
 def stored_outcomes(spark: SparkSession, out: str, run_id: str) -> DataFrame:
-    """Outcomes of all batches a run has written so far; empty before the first."""
-    return files.read_outcomes(spark, f"{out.rstrip('/')}/outcomes/{run_id}")
+    """Outcomes of all lots a run has finished so far; empty before the first."""
+    done = files.read_progress(spark, _progress(out, run_id))
+    return files.read_outcomes(spark, f"{out.rstrip('/')}/outcomes/{run_id}", done)
+
+
+def begin_work(spark: SparkSession, out: str, run_id: str) -> str:
+    """Note a new start of a run; lots of earlier starts count no longer."""
+    start = uuid.uuid4().hex
+    sinks.write_progress(spark, _progress(out, run_id), start, None, None)
+    return start
 
 
 def write_work(
@@ -120,19 +140,25 @@ def write_work(
     run_id: str,
     responses: DataFrame | None = None,
     attempts: DataFrame | None = None,
-    batches: int = 1,
+    rows_per_lot: int = ROWS_PER_LOT,
     only: list[int] | None = None,
 ) -> None:
-    """Write a run's outcomes in ``batches`` batches by a hash of the document.
+    """Write a run's outcomes lot by lot; lots are picked by a hash of the document.
 
-    Each batch is stored before the next begins, so an aborted run keeps what it has done. New
-    batches never replace those of an earlier start. ``only`` picks batches.
+    Their number follows from the rows of the stored work list. A lot is finished once its progress
+    is noted, so an aborted run loses one lot's work at most. ``only`` picks lots.
     """
-    before = files.batch_count(spark, f"{out.rstrip('/')}/outcomes/{run_id}")
-    for number in only if only is not None else range(batches):
-        own = work.where(F.pmod(F.xxhash64("document_id"), F.lit(batches)) == number)
+    progress, path = _progress(out, run_id), f"{out.rstrip('/')}/outcomes/{run_id}"
+    start = files.last_start(spark, progress) or begin_work(spark, out, run_id)
+    last = files.read_progress(spark, progress).agg(F.max("lot")).first()[0]  # one number
+    before = 0 if last is None else last + 1
+    lots = max(-(-work.count() // rows_per_lot), 1)
+    for number in only if only is not None else range(lots):
+        own = work.where(F.pmod(F.xxhash64("document_id"), F.lit(lots)) == number)
         outcomes = run_outcomes(own, fields, responses, attempts)
-        sinks.append_outcomes(outcomes, f"{out.rstrip('/')}/outcomes/{run_id}", str(before + number))
+        token = uuid.uuid4().hex
+        sinks.append_outcomes(outcomes, path, before + number, token)
+        sinks.write_progress(spark, progress, start, before + number, token)
 
 
 def finish_run(
@@ -140,11 +166,13 @@ def finish_run(
 ) -> DataFrame:
     """Write documents, reasons, report and alerts of a run's stored outcomes; returns the report.
 
-    Everything reads the stored outcomes, which are small. Of several outcomes of a document,
-    as an aborted and a resumed start may leave, one counts.
+    Of several outcomes of a document, as an aborted and a resumed start may leave, one counts.
+    That choice is stored once and everything else reads it.
     """
     out = out.rstrip("/")
-    stored = E.dedup_outcomes(stored_outcomes(spark, out, run_id))
+    decided = f"{out}/decided/{run_id}"
+    E.dedup_outcomes(stored_outcomes(spark, out, run_id)).write.mode("overwrite").parquet(decided)
+    stored = spark.read.schema(S.OUTCOMES).parquet(decided)
     sinks.write_documents(E.documents(stored), f"{out}/documents", run_id)
     sinks.write_reasons(R.error_reasons(stored), f"{out}/reasons", run_id)
     report = R.nest_report(R.run_report(stored, mode, run_id, last_run))
@@ -154,13 +182,25 @@ def finish_run(
     return written
 
 
-def _start(spark, versions, out, run_id, resume) -> DataFrame:
-    """Work list of a run: all its versions, or those without an outcome if it is resumed."""
+def run_counts(spark: SparkSession, out: str, run_id: str) -> DataFrame:
+    """What a run saw: ``runId, entries, laws, remaining, skipped``."""
+    return files.read_counts(spark, f"{out.rstrip('/')}/counts", run_id)
+
+
+def _start(spark, versions, counts, out, run_id, resume, processed=None) -> DataFrame:
+    """Work list of a run: its versions without those processed before or, if it is resumed, without
+    those that have an outcome. Its counts are taken while the list is written, and stored."""
+    if processed is not None:
+        versions = leave_out(versions, processed)
     if resume:
         versions = leave_out(versions, processed_ids(stored_outcomes(spark, out, run_id)))
     else:
+        begin_work(spark, out, run_id)
         sinks.clear_outcomes(spark, f"{out}/outcomes/{run_id}", S.OUTCOMES)
-    return work_list(spark, versions, f"{out}/versions/{run_id}")
+    work = work_list(spark, counts(versions, "remaining"), f"{out}/versions/{run_id}")
+    seen = counts.get()
+    sinks.write_counts(spark, {**seen, "skipped": seen["laws"] - seen["remaining"]}, f"{out}/counts", run_id)
+    return work
 
 
 def run_backfill(
@@ -174,7 +214,7 @@ def run_backfill(
     processed: DataFrame | None = None,
     attempts: DataFrame | None = None,
     index: DataFrame | None = None,
-    batches: int = 1,
+    rows_per_lot: int = ROWS_PER_LOT,
     resume: bool = False,
 ) -> DataFrame:
     """Full build of all current versions that were not processed before.
@@ -183,9 +223,10 @@ def run_backfill(
     """
     out = out.rstrip("/")
     require_sources(sitemap_pages, index)
-    versions = current_versions(sitemap_pages, today, processed)
-    work = _start(spark, versions, out, run_id, resume)
-    write_work(spark, work, fields, out, run_id, responses, attempts, batches)
+    counts = RowCounts()
+    versions = current_versions(sitemap_pages, today, counted=counts)
+    work = _start(spark, versions, counts, out, run_id, resume, processed)
+    write_work(spark, work, fields, out, run_id, responses, attempts, rows_per_lot)
     return finish_run(spark, out, run_id, "backfill")
 
 
@@ -200,26 +241,33 @@ def run_daily(
     latest_first: bool = False,
     attempts: DataFrame | None = None,
     index: DataFrame | None = None,
-    batches: int = 1,
+    rows_per_lot: int = ROWS_PER_LOT,
     resume: bool = False,
+    head: Row | None = None,
 ) -> DataFrame:
     """Changes since the stored checkpoint; moves it if the run went well enough.
 
     Without changes the output is empty, the report holds zeros and the checkpoint moves. If too
     many sitemap pages failed, the run stops before it writes and the checkpoint stays.
     New documents are counted against the stored checkpoint, not against its default.
+
+    The commit names the one that the run began from (``head``, read from the store unless given). If
+    another run has committed in between, the checkpoint stays where that one put it.
     """
     out = out.rstrip("/")
     require_sources(sitemap_pages, index)
     control = f"{out}/checkpoint"
     # one control row each; the dates become literals of the plan
-    stored = files.stored_checkpoint(spark, control).first()["last_run"]
-    since = files.read_checkpoint(spark, control, today).first()["last_run"]
-    versions = changed_versions(sitemap_pages, today, since, latest_first)
-    work = _start(spark, versions, out, run_id, resume)
-    write_work(spark, work, fields, out, run_id, responses, attempts, batches)
+    head = files.checkpoint_head(spark, control).first() if head is None else head
+    stored = head["last_run"]
+    known = spark.range(1).select(F.lit(stored).cast("string").alias("last_run"))
+    since = files.since_date(known, today).first()["last_run"]
+    counts = RowCounts()
+    versions = changed_versions(sitemap_pages, today, since, latest_first, counted=counts)
+    work = _start(spark, versions, counts, out, run_id, resume)
+    write_work(spark, work, fields, out, run_id, responses, attempts, rows_per_lot)
     report = finish_run(spark, out, run_id, "daily", stored)
-    sinks.commit_checkpoint(report, control, today)
+    sinks.commit_checkpoint(report, control, today, guarded=True, follows=head["run_id"])
     return report
 
 

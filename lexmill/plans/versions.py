@@ -8,10 +8,14 @@ from lexmill.sources.sitemaps import law_entries
 
 
 def current_versions(
-    sitemap_pages: DataFrame, today: str, processed: DataFrame | None = None
+    sitemap_pages: DataFrame, today: str, processed: DataFrame | None = None, counted=V.uncounted
 ) -> DataFrame:
-    """One current version per law, without laws processed before."""
-    laws = V.latest_version(V.drop_future(law_entries(sitemap_pages), today))
+    """One current version per law, without laws processed before.
+
+    ``counted`` may count ``entries`` and ``laws`` as they pass, see :class:`RowCounts`.
+    """
+    entries = counted(V.drop_future(law_entries(sitemap_pages), today), "entries")
+    laws = counted(V.latest_version(entries), "laws")
     return laws if processed is None else V.resume(laws, processed)
 
 
@@ -21,6 +25,7 @@ def changed_versions(
     last_run: str,
     latest_first: bool = False,
     buffer_days: int = K.LATE_BUFFER_DAYS,
+    counted=V.uncounted,
 ) -> DataFrame:
     """Versions changed since the checkpoint, one per law.
 
@@ -28,7 +33,7 @@ def changed_versions(
     version that was touched can be the answer. ``latest_first=True`` chooses first and
     then keeps the current versions that changed.
     """
-    entries = V.drop_future(law_entries(sitemap_pages), today)
+    entries = counted(V.drop_future(law_entries(sitemap_pages), today), "entries")
     if latest_first:
-        return V.changed_since(V.latest_version(entries), last_run, buffer_days)
-    return V.latest_version(V.changed_since(entries, last_run, buffer_days))
+        return counted(V.changed_since(V.latest_version(entries), last_run, buffer_days), "laws")
+    return counted(V.latest_version(V.changed_since(entries, last_run, buffer_days)), "laws")

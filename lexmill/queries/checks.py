@@ -278,7 +278,8 @@ INSTRUCTION = K.SYSTEM_INSTRUCTION.replace("'", "''")
 
 BACKFILL_REPORT = f"""WITH {BACKFILL_LOGGED}
         {_report('backfill', 'backfill_1', 'z', 'true', "kind = 'document'")},
-          {_reason_list('z')} FROM z"""
+          {_reason_list('z')}"""
+RUN_COUNTS = """(SELECT count(*) FROM past) AS entries, count(*) AS remaining, CAST(0 AS BIGINT) AS skipped"""
 PASSING = "file NOT IN (SELECT file FROM q WHERE violation IS NOT NULL)"
 
 CHECKS: dict[str, str] = {
@@ -369,8 +370,8 @@ CHECKS: dict[str, str] = {
         FROM v JOIN f ON v.url = f.url WHERE has_page AND st <> 'F' AND text_content <> ''""",
     "ingested_pages": f"""WITH {FIELDS} SELECT url, CASE WHEN has_page THEN st = 'F' END AS abrogated,
           {MASKED} FROM f""",
-    "backfill_run": BACKFILL_REPORT,
-    "resumed_run": BACKFILL_REPORT,
+    "backfill_run": f"{BACKFILL_REPORT}, {RUN_COUNTS} FROM z",
+    "resumed_run": f"{BACKFILL_REPORT}, count(*) AS stored_rows FROM z",
     "empty_daily_run": f"""SELECT 'daily_1' AS runId, 'daily' AS mode, 0::BIGINT AS fetched,
           0::BIGINT AS extracted, 0::BIGINT AS enriched, 0::BIGINT AS newDocuments,
           0::BIGINT AS updatedDocuments, 0::BIGINT AS errors,
@@ -386,7 +387,8 @@ CHECKS: dict[str, str] = {
           {_reason_list('z')},
           CASE WHEN count(*) FILTER (WHERE kind <> 'document') * 2 < count(*) OR count(*) = 0
             THEN '{TODAY}' ELSE '{LAST_RUN}' END AS checkpoint,
-          CAST(count(*) FILTER (WHERE kind <> 'document') * 10 > count(*) AS INT) AS alerts FROM z""",
+          CAST(count(*) FILTER (WHERE kind <> 'document') * 10 > count(*) AS INT) AS alerts,
+          {RUN_COUNTS} FROM z""",
     "sample_outcomes": f"WITH {SAMPLE} SELECT * FROM r",
     "accumulator_outcomes": f"WITH {LINES} SELECT * FROM c",
     "run_report": f"""WITH {LINES}

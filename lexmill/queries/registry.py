@@ -241,14 +241,14 @@ def merged_outcomes(spark, sf):
     )
 
 
-def _page_fields(spark, sf) -> DataFrame:
+def page_fields_table(spark, sf) -> DataFrame:
     """The law pages, ingested: their fields, stored once."""
     return runs.ingest_pages(spark, raw.law_pages(spark, sf), run_path(spark, "fields"))
 
 
 @query
 def ingested_pages(spark, sf):
-    return _page_fields(spark, sf).drop("fetched_at")
+    return page_fields_table(spark, sf).drop("fetched_at")
 
 
 @query
@@ -257,7 +257,7 @@ def backfill_outcomes(spark, sf):
     versions = plan_versions.current_versions(raw.sitemap_pages(spark, sf), raw.TODAY)
     return _flat_outcomes(
         runs.run_outcomes(
-            versions, _page_fields(spark, sf), raw.responses(spark, sf, "law-")
+            versions, page_fields_table(spark, sf), raw.responses(spark, sf, "law-")
         )
     )
 
@@ -266,37 +266,50 @@ def backfill_outcomes(spark, sf):
 def backfill_requests(spark, sf):
     """Summary requests of a backfill: current versions, their pages, prompts."""
     versions = plan_versions.current_versions(raw.sitemap_pages(spark, sf), raw.TODAY)
-    return runs.run_requests(versions, _page_fields(spark, sf)).select("document_id", "prompt")
+    return runs.run_requests(versions, page_fields_table(spark, sf)).select("document_id", "prompt")
+
+
+def _with_counts(report: DataFrame, out: str) -> DataFrame:
+    """The report, with what the run saw, left and skipped."""
+    return report.join(runs.run_counts(report.sparkSession, out, report.first()["runId"]).drop("laws"), "runId")
 
 
 @query
 def backfill_run(spark, sf):
-    """The whole backfill with all its writes; the stored report."""
+    """The whole backfill with all its writes; the stored report and what the run saw."""
+    out = run_path(spark, "backfill")
     report = runs.run_backfill(
-        spark, raw.sitemap_pages(spark, sf), _page_fields(spark, sf),
-        run_path(spark, "backfill"), "backfill_1", raw.TODAY,
+        spark, raw.sitemap_pages(spark, sf), page_fields_table(spark, sf), out, "backfill_1", raw.TODAY,
         raw.responses(spark, sf, "law-"), attempts=raw.fetch_attempts(spark, sf, "law-"),
     )
-    return _flat_report(report)
+    return _with_counts(_flat_report(report), out)
 
 
 @query
 def resumed_run(spark, sf):
-    """A backfill that stopped after the second of three batches, then resumed; its report."""
+    """A backfill of three lots that stopped inside the second one, then resumed; its report.
+
+    Half of the second lot's documents lie in files of an attempt that noted no progress.
+    ``stored_rows`` are the outcomes that count: one per law, none of that attempt.
+    """
     out = run_path(spark, "resumed")
-    pages, fields = raw.sitemap_pages(spark, sf), _page_fields(spark, sf)
+    pages, fields = raw.sitemap_pages(spark, sf), page_fields_table(spark, sf)
     given = {"responses": raw.responses(spark, sf, "law-"), "attempts": raw.fetch_attempts(spark, sf, "law-")}
     work = runs.work_list(
         spark, plan_versions.current_versions(pages, raw.TODAY), f"{out}/versions/backfill_1"
     )
-    runs.write_work(spark, work, fields, out, "backfill_1", batches=3, only=[0, 1], **given)
+    rows_per_lot = -(-work.count() // 3)
+    runs.write_work(spark, work, fields, out, "backfill_1", rows_per_lot=rows_per_lot, only=[0], **given)
+    half = work.where(F.pmod(F.xxhash64("document_id"), F.lit(3)) == 1).where(F.crc32("document_id") % 2 == 0)
+    sinks.append_outcomes(runs.run_outcomes(half, fields, **given), f"{out}/outcomes/backfill_1", 1, "aborted")
     report = runs.run_backfill(
-        spark, pages, fields, out, "backfill_1", raw.TODAY, batches=3, resume=True, **given
+        spark, pages, fields, out, "backfill_1", raw.TODAY, rows_per_lot=rows_per_lot, resume=True, **given
     )
-    return _flat_report(report)
+    stored = runs.stored_outcomes(spark, out, "backfill_1").agg(F.count(F.lit(1)).alias("stored_rows"))
+    return _flat_report(report).join(stored)
 
 
-def _after(spark, name: str, last_run: str) -> str:
+def after_checkpoint(spark, name: str, last_run: str) -> str:
     """Folder of daily runs with a stored checkpoint."""
     out = run_path(spark, name)
     past = spark.sql(
@@ -313,13 +326,13 @@ def _checkpoint(spark, out: str) -> F.Column:
 @query
 def daily_run(spark, sf):
     """A daily run after a stored checkpoint, with all its writes; the stored report."""
-    out = _after(spark, "daily", raw.LAST_RUN)
+    out = after_checkpoint(spark, "daily", raw.LAST_RUN)
     report = runs.run_daily(
-        spark, raw.sitemap_pages(spark, sf), _page_fields(spark, sf), out, "daily_1",
+        spark, raw.sitemap_pages(spark, sf), page_fields_table(spark, sf), out, "daily_1",
         raw.TODAY, raw.responses(spark, sf, "law-"), attempts=raw.fetch_attempts(spark, sf, "law-"),
     )
     alerts_ = spark.read.schema("alert STRING, error_rate STRING").json(f"{out}/alerts/run_id=daily_1")
-    return _flat_report(report).withColumns(
+    return _with_counts(_flat_report(report), out).withColumns(
         {"checkpoint": _checkpoint(spark, out), "alerts": F.lit(alerts_.count())}
     )
 
@@ -327,9 +340,9 @@ def daily_run(spark, sf):
 @query
 def empty_daily_run(spark, sf):
     """A daily run without changes: zeros, readable empty documents, and the checkpoint moves."""
-    out = _after(spark, "empty", "2990-01-01")
+    out = after_checkpoint(spark, "empty", "2990-01-01")
     report = runs.run_daily(
-        spark, raw.sitemap_pages(spark, sf), _page_fields(spark, sf), out, "daily_1", raw.TODAY
+        spark, raw.sitemap_pages(spark, sf), page_fields_table(spark, sf), out, "daily_1", raw.TODAY
     )
     documents = spark.read.parquet(f"{out}/documents").count()
     return _flat_report(report).withColumns(
@@ -340,10 +353,10 @@ def empty_daily_run(spark, sf):
 @query
 def run_quorum(spark, sf):
     """A daily run most of whose sitemap pages failed: it stops, and its checkpoint stays."""
-    out = _after(spark, "quorum", raw.LAST_RUN)
+    out = after_checkpoint(spark, "quorum", raw.LAST_RUN)
     pages = raw.failing_sitemap_pages(spark, sf)
     try:
-        runs.run_daily(spark, pages, _page_fields(spark, sf), out, "daily_1", raw.TODAY)
+        runs.run_daily(spark, pages, page_fields_table(spark, sf), out, "daily_1", raw.TODAY)
         stopped = False
     except R.QuorumError:
         stopped = True
@@ -364,7 +377,7 @@ def _flat_report(report: DataFrame) -> DataFrame:
 def sample_outcomes(spark, sf):
     return _flat_outcomes(
         runs.sample_outcomes(
-            raw.sitemap_pages(spark, sf), _page_fields(spark, sf), raw.TODAY, 40
+            raw.sitemap_pages(spark, sf), page_fields_table(spark, sf), raw.TODAY, 40
         )
     )
 

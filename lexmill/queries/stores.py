@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from lexmill import constants as K
 from lexmill.operators.versions import first_seen_key
+from lexmill.plans import runs
 from lexmill.queries import raw
-from lexmill.queries.checks import CHECKS, ISO
-from lexmill.queries.registry import query
+from lexmill.queries.checks import CHECKS, DAILY, ENTRIES, ISO, LAST_RUN, TODAY
+from lexmill.queries.registry import after_checkpoint, page_fields_table, query
 from lexmill.session import run_path
-from lexmill.sources import snapshots
+from lexmill.sources import files, snapshots
 from lexmill.streaming import jobs, late
 
 DAYS = K.LATE_BUFFER_DAYS
@@ -168,3 +169,51 @@ def stream_dedup_snapshot(spark, sf):
 
 
 CHECKS["stream_dedup_snapshot"] = f"WITH {LATE} SELECT event_id, user_id, event_type FROM e WHERE NOT late"
+
+
+# --- runs ----------------------------------------------------------------------------
+
+
+@query
+def concurrent_runs(spark, sf):
+    """Two daily runs that began from one checkpoint: the first to commit moves it, the second does not."""
+    out = after_checkpoint(spark, "concurrent", raw.LAST_RUN)
+    head = files.checkpoint_head(spark, f"{out}/checkpoint").first()
+    pages, fields = raw.sitemap_pages(spark, sf), page_fields_table(spark, sf)
+    given = {"attempts": raw.fetch_attempts(spark, sf, "law-"), "head": head}
+    reports = [runs.run_daily(spark, pages, fields, out, r, raw.TODAY, **given) for r in ("daily_a", "daily_b")]
+    now = files.checkpoint_head(spark, f"{out}/checkpoint").first()
+    both = reports[0].unionByName(reports[1]).select("runId", "fetched")
+    committed = files.read_commits(spark, f"{out}/checkpoint").select("runId", F.lit(True).alias("claimed"))
+    return both.join(committed, "runId", "left").select(
+        "runId", "fetched", F.coalesce("claimed", F.lit(False)).alias("claimed"),
+        (F.col("runId") == F.lit(now["run_id"])).alias("counts"), F.lit(now["last_run"]).alias("checkpoint"),
+    )
+
+
+CHECKS["concurrent_runs"] = f"""WITH {DAILY}, n AS (
+    SELECT count(*) AS fetched, count(*) FILTER (WHERE kind <> 'document') * 2 < count(*) OR count(*) = 0 AS good
+    FROM r)
+  SELECT runId, fetched, good AS claimed, good AND runId = 'daily_a' AS counts,
+    CASE WHEN good THEN '{TODAY}' ELSE '{LAST_RUN}' END AS checkpoint
+  FROM n, (VALUES ('daily_a'), ('daily_b')) v(runId)"""
+
+
+@query
+def backfill_counts(spark, sf):
+    """What a backfill saw after the laws of a market segment had been processed before."""
+    out = run_path(spark, "counts")
+    done = raw.table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING").select(
+        raw.text("law-", F.col("c_custkey")).alias("document_id")
+    )
+    runs.run_backfill(
+        spark, raw.sitemap_pages(spark, sf), page_fields_table(spark, sf), out, "backfill_1", raw.TODAY, processed=done
+    )
+    return runs.run_counts(spark, out, "backfill_1")
+
+
+CHECKS["backfill_counts"] = f"""WITH {ENTRIES}, l AS (SELECT DISTINCT document_id FROM past),
+  s AS (SELECT document_id FROM l WHERE document_id IN (
+    SELECT 'law-' || c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'))
+  SELECT 'backfill_1' AS runId, (SELECT count(*) FROM past) AS entries, (SELECT count(*) FROM l) AS laws,
+    (SELECT count(*) FROM l) - (SELECT count(*) FROM s) AS remaining, (SELECT count(*) FROM s) AS skipped"""

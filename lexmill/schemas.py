@@ -52,5 +52,17 @@ OUTCOMES = T.StructType(
     ]
 )
 CHECKPOINT = T.StructType(
-    _strings("lastRun", "runId") + [T.StructField("committedAt", T.TimestampType())]
+    _strings("lastRun", "runId")
+    + [T.StructField("committedAt", T.TimestampType())]
+    + _strings("follows")
+    + [T.StructField("guarded", T.BooleanType())]
+)
+PROGRESS = T.StructType(
+    _strings("start")
+    + [T.StructField("lot", T.IntegerType())]
+    + _strings("attempt")
+    + [T.StructField("finishedAt", T.TimestampType())]
+)
+RUN_COUNTS = T.StructType(
+    _strings("runId") + [T.StructField(name, _L) for name in ("entries", "laws", "remaining", "skipped")]
 )

@@ -123,19 +123,36 @@ def rows_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return _read_or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
 
 
-def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
-    """Outcomes of a run over all its batches; empty if it has none."""
-    return _read_or_empty(
-        spark, S.OUTCOMES, lambda: spark.read.schema(S.OUTCOMES).parquet(path)
-    ).select(*S.OUTCOMES.names)
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Finished lots of the newest start of a run: ``start, lot, attempt``, one attempt a lot.
+
+    Of several attempts that finished a lot the one that did so first counts; of equal times the
+    smaller token.
+    """
+    noted = rows_or_none(spark, path, S.PROGRESS)
+    newest = noted.where("lot IS NULL").agg(F.max_by("start", F.struct("finishedAt", "start")).alias("start"))
+    lots = noted.where("lot IS NOT NULL").join(newest, "start")
+    return lots.groupBy("start", "lot").agg(F.min_by("attempt", F.struct("finishedAt", "attempt")).alias("attempt"))
+
 
+def last_start(spark: SparkSession, path: str) -> str | None:
+    """Token of the newest start of a run; None if it never began."""
+    begun = rows_or_none(spark, path, S.PROGRESS).where("lot IS NULL")
+    return begun.agg(F.max_by("start", F.struct("finishedAt", "start"))).first()[0]  # one value
 
-def batch_count(spark: SparkSession, path: str) -> int:
-    """One more than the greatest number of a run's stored batches that hold rows."""
-    batched = T.StructType(S.OUTCOMES.fields + [T.StructField("batch", T.IntegerType())])
-    stored = _read_or_empty(spark, batched, lambda: spark.read.schema(batched).parquet(path))
-    last = stored.agg(F.max("batch")).first()[0]  # one number
-    return 0 if last is None else last + 1
+
+def read_outcomes(spark: SparkSession, path: str, progress: DataFrame) -> DataFrame:
+    """Outcomes of the finished lots; empty if there are none. ``progress`` has a row per lot."""
+    done = progress.select("lot", "attempt").collect()
+    if not done:
+        return spark.createDataFrame([], S.OUTCOMES)
+    base = path.rstrip("/")
+    return spark.read.schema(S.OUTCOMES).parquet(*[f"{base}/lot={r.lot}/attempt={r.attempt}" for r in done])
+
+
+def read_counts(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """``runId, entries, laws, remaining, skipped`` of a run."""
+    return rows_or_none(spark, f"{path.rstrip('/')}/{run_id}", S.RUN_COUNTS)
 
 
 def read_written_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -171,19 +188,41 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def stored_checkpoint(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``last_run``: the checkpoint that was committed last, null without a commit.
+def checkpoint_head(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``run_id, last_run``: the commit that counts, nulls without one.
 
-    Commits are appended, never replaced, so a lost writer cannot lose the checkpoint. Their
-    time decides; run ids may have any form. Of equal times the later date counts.
+    Commits are appended, never replaced, so a lost writer cannot lose the checkpoint. They are
+    taken in the order of their times (of equal times by date, then by run id). A plain commit
+    counts from then on. A guarded one counts only if the commit it follows is the one that counts
+    at that point: of two runs that began from one checkpoint the first to commit moves it, the
+    other does not, and neither does anything built on the other. The table has a row per run.
     """
-    newest = F.struct(F.coalesce("committedAt", F.lit("0001-01-01").cast("timestamp")), "lastRun")
-    return read_commits(spark, path).agg(F.max_by("lastRun", newest).alias("last_run"))
+    time = F.coalesce("committedAt", F.lit("0001-01-01").cast("timestamp"))
+    claims = F.sort_array(F.collect_list(F.struct(time.alias("at"), "lastRun", "runId", "follows", "guarded")))
+    none = F.lit(None).cast("string")
+    start = F.struct(none.alias("run_id"), none.alias("last_run"))
+
+    def step(head: Column, claim: Column) -> Column:
+        void = F.coalesce(claim["guarded"], F.lit(False)) & ~claim["follows"].eqNullSafe(head["run_id"])
+        taken = F.struct(claim["runId"].alias("run_id"), claim["lastRun"].alias("last_run"))
+        return F.when(void, head).otherwise(taken)
+
+    return read_commits(spark, path).agg(F.aggregate(claims, start, step).alias("head")).select("head.*")
+
+
+def stored_checkpoint(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``last_run``: the date of the commit that counts, null without one."""
+    return checkpoint_head(spark, path).select("last_run")
 
 
 def read_checkpoint(spark: SparkSession, path: str, today: str) -> DataFrame:
     """One row ``last_run``; yesterday if there is no commit or it holds no date."""
+    return since_date(stored_checkpoint(spark, path), today)
+
+
+def since_date(checkpoint: DataFrame, today: str) -> DataFrame:
+    """``last_run`` where it holds a date, else yesterday."""
     yesterday = F.date_sub(F.lit(today).cast("date"), 1)
-    return stored_checkpoint(spark, path).select(
+    return checkpoint.select(
         F.coalesce(F.col("last_run").try_cast("date"), yesterday).cast("string").alias("last_run")
     )

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lexmill import schemas as S
@@ -154,14 +155,62 @@ def test_aborted_run_goes_on(spark, tmp_path):
     known = fields(spark, tmp_path / "fields", *PAGES)
     whole = runs.run_backfill(spark, sites, known, str(tmp_path / "whole"), "b", "2026-04-10").first()
     work = runs.work_list(spark, runs.current_versions(sites, "2026-04-10"), f"{out}/versions/b")
-    runs.write_work(spark, work, known, out, "b", batches=2, only=[1])
+    runs.write_work(spark, work, known, out, "b", rows_per_lot=2, only=[1])
     before = runs.stored_outcomes(spark, out, "b").count()
-    report = runs.run_backfill(spark, sites, known, out, "b", "2026-04-10", batches=2, resume=True)
-    assert report.first() == whole and before < 4
+    # an attempt that was lost inside the other lot: files, but no progress
+    sinks.append_outcomes(runs.run_outcomes(work.limit(1), known), f"{out}/outcomes/b", 0, "aborted")
+    assert runs.stored_outcomes(spark, out, "b").count() == before < 4
+    report = runs.run_backfill(spark, sites, known, out, "b", "2026-04-10", rows_per_lot=2, resume=True)
+    assert report.first() == whole
     assert runs.stored_outcomes(spark, out, "b").count() == 4
+    assert rows(runs.run_counts(spark, out, "b")) == [("b", 5, 4, 4 - before, before)]
     # resumed again, nothing is left to do and nothing is lost
     again = runs.run_backfill(spark, sites, known, out, "b", "2026-04-10", resume=True)
     assert again.first() == whole
+    assert rows(runs.run_counts(spark, out, "b")) == [("b", 5, 4, 0, 4)]
+
+
+def test_lots_follow_from_the_work(spark, tmp_path):
+    out, sites = str(tmp_path / "out"), sitemap(spark, *SITES)
+    known = fields(spark, tmp_path / "fields", *PAGES)
+    runs.run_backfill(spark, sites, known, out, "b", "2026-04-10", rows_per_lot=1)
+    lots = files.read_progress(spark, f"{out}/progress/b")
+    assert rows(lots, "lot") == [(0,), (1,), (2,), (3,)]
+    # a new start of the run: nothing of the old one counts
+    runs.run_backfill(spark, sites, known, out, "b", "2026-04-10")
+    assert rows(files.read_progress(spark, f"{out}/progress/b"), "lot") == [(0,)]
+    assert runs.stored_outcomes(spark, out, "b").count() == 4
+
+
+def test_counts_of_a_run(spark, tmp_path):
+    out, sites = str(tmp_path / "out"), sitemap(spark, *SITES)
+    known = fields(spark, tmp_path / "fields", *PAGES)
+    done = spark.createDataFrame([("a",), ("zz",)], "document_id STRING")
+    runs.run_backfill(spark, sites, known, out, "b", "2026-04-10", processed=done)
+    assert rows(runs.run_counts(spark, out, "b")) == [("b", 5, 4, 3, 1)]
+    # an empty stage takes its counts along; they are counted again
+    runs.run_daily(spark, sites, known, out, "d", "2027-01-01", head=Row(run_id=None, last_run="2026-12-01"))
+    assert rows(runs.run_counts(spark, out, "d")) == [("d", 5, 0, 0, 0)]
+
+
+def test_of_two_runs_from_one_checkpoint_the_first_commits(spark, tmp_path):
+    out, sites = str(tmp_path / "out"), sitemap(spark, *SITES)
+    pages = fields(spark, tmp_path / "fields", *PAGES)
+    control = f"{out}/checkpoint"
+    head = files.checkpoint_head(spark, control).first()
+    assert head == Row(run_id=None, last_run=None)
+    runs.run_daily(spark, sites, pages, out, "a", "2026-04-10", head=head)
+    runs.run_daily(spark, sites, pages, out, "b", "2026-04-11", head=head)
+    assert files.checkpoint_head(spark, control).first() == Row(run_id="a", last_run="2026-04-10")
+    # what follows the void commit is void, what follows the valid one counts
+    none = spark.createDataFrame([(0, 0)], "errors LONG, fetched LONG")
+    for run, day, follows in (("c", "2026-04-12", "b"), ("d", "2026-04-13", "a")):
+        sinks.commit_checkpoint(none.selectExpr(f"'{run}' AS runId", "*"), control, day, guarded=True, follows=follows)
+        assert files.checkpoint_head(spark, control).first()["run_id"] == ("a" if run == "c" else "d")
+    # the same run again, as after a lost driver, commits over itself
+    runs.run_daily(spark, sitemap(spark, SITES[3]), pages, out, "e", "2026-04-14")
+    runs.run_daily(spark, sitemap(spark, SITES[3]), pages, out, "e", "2026-04-15")
+    assert files.checkpoint_head(spark, control).first() == Row(run_id="e", last_run="2026-04-15")
 
 
 def test_newest_fetch_of_a_page_counts(spark, tmp_path):

@@ -124,8 +124,8 @@ def test_body_text(values):
     ]
     assert values(texts, X.extract_body_text) == ["a", "", "b", "c", "a < b", None]
     long = "<main>" + "wort " * 1000 + "</main>"
-    assert [len(t) for t in values([long], X.extract_body_text)] == [2500]
-    assert [len(t) for t in values([long], lambda s: X.extract_body_text(s, None))] == [4999]
+    assert [len(t) for t in values([long], X.extract_body_text)] == [4999]
+    assert [len(t) for t in values([long], lambda s: X.extract_body_text(s, 2500))] == [2500]
 
 
 def test_long_page_does_not_overflow(values):
@@ -155,4 +155,7 @@ def test_prompt(spark):
     got = [r[0] for r in frame.select(D.prompt("t", "x")).collect()]
     assert got[0] == "Titel: T\n\nText:\nx"
     assert got[1] == "Titel: Kein Titel\n\nText:\nKein Text vorhanden"
-    assert got[2] == "Titel: Kein Titel\n\nText:\n" + "y" * 3000
+    assert got[2] == "Titel: Kein Titel\n\nText:\n" + "y" * 2500
+    third = frame.where("t IS NULL")
+    for cuts, kept in (((None, None), 4000), ((3500, 3000), 3000), ((None, 10), 10)):
+        assert third.select(D.prompt("t", "x", *cuts)).first()[0] == "Titel: Kein Titel\n\nText:\n" + "y" * kept
