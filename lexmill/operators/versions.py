@@ -94,6 +94,27 @@ def sample_laws(entries: DataFrame, n: int = 0) -> DataFrame:
     return ordered.limit(n) if n else ordered
 
 
+def widening_range(pages: DataFrame, n: int, entries_of, growth: int = 4) -> int | None:
+    """Number of the last sitemap page that has to be read until ``n`` laws are known.
+
+    Pages are read in ranges that grow, each from the first page on and pruned at the scan, so what
+    is read in all is a constant factor more than that page needs. None if all pages hold fewer.
+    """
+    ends = pages.agg(F.min("page").alias("low"), F.max("page").alias("high")).first()  # from the page numbers alone
+    if ends["low"] is None:
+        return None
+    width = n
+    while True:
+        top = ends["low"] + width - 1
+        laws = entries_of(pages.where(F.col("page") <= top)).groupBy(*KEY).agg(F.min(F.struct(*SEEN)).alias("_first"))
+        first = laws.orderBy("_first").limit(n).agg(F.count(F.lit(1)).alias("laws"), F.max("_first.page").alias("page")).first()
+        if first["laws"] >= n:
+            return first["page"]
+        if top >= ends["high"]:
+            return None
+        width *= growth
+
+
 def version_history(entries: DataFrame) -> DataFrame:
     """All versions with validity ``[valid_from, valid_to)``; ``valid_to`` null for the last.
 

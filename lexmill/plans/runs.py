@@ -19,7 +19,7 @@ from lexmill.operators import enrich as E
 from lexmill.operators import reports as R
 from lexmill.operators.pages import extract_laws, fetch_outcome, with_legal_type
 from lexmill.operators.snapshots import processed_ids
-from lexmill.operators.versions import RowCounts, drop_future, resume as leave_out, sample_laws
+from lexmill.operators.versions import RowCounts, drop_future, resume as leave_out, sample_laws, widening_range
 from lexmill.plans.versions import changed_versions, current_versions
 from lexmill.sources import files, sinks
 from lexmill.sources.sitemaps import count_sitemaps, law_entries
@@ -271,9 +271,26 @@ def run_daily(
     return report
 
 
+def sample_versions(sitemap_pages: DataFrame, today: str, n: int) -> DataFrame:
+    """The first ``n`` laws as a reader knows them who stops at the page that brings the n-th.
+
+    Later pages are not read, so a version that only they hold is not seen; :func:`sample_outcomes`
+    without ``early_stop`` looks at all pages.
+    """
+
+    def entries(pages: DataFrame) -> DataFrame:
+        return drop_future(law_entries(pages), today)
+
+    last = widening_range(sitemap_pages, n, entries) if n else None
+    read = sitemap_pages if last is None else sitemap_pages.where(F.col("page") <= last)
+    return sample_laws(entries(read), n)
+
+
 def sample_outcomes(
-    sitemap_pages: DataFrame, fields: DataFrame, today: str, n: int = 0
+    sitemap_pages: DataFrame, fields: DataFrame, today: str, n: int = 0, early_stop: bool = False
 ) -> DataFrame:
     """Outcomes of the first ``n`` laws, without summaries."""
+    if early_stop:
+        return run_outcomes(sample_versions(sitemap_pages, today, n), fields)
     laws = sample_laws(drop_future(law_entries(sitemap_pages), today), n)
     return run_outcomes(laws, fields)

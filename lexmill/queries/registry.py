@@ -687,7 +687,7 @@ def stream_outcomes(spark, sf):
     pages = raw.short_orders(_stream(spark, sf, "orders"))
     job = jobs.write_batches(pages, out, checkpoint, transform, guard=0.5)
     job.awaitTermination()
-    return _flat_outcomes(spark.read.parquet(out))
+    return _flat_outcomes(jobs.read_published(spark, out, S.OUTCOMES))
 
 
 @query
@@ -701,7 +701,7 @@ def stream_rejected(spark, sf):
         stopped = False
     except StreamingQueryException as error:
         stopped = "BatchRejected" in str(error)
-    published = files.rows_or_none(spark, out, orders.schema)
+    published = jobs.read_published(spark, out, orders.schema)
     return published.agg(F.count(F.lit(1)).alias("published")).withColumn("stopped", F.lit(stopped))
 
 

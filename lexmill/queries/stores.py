@@ -3,17 +3,20 @@
 Each query stands beside its SQL, which is computed from the given tables alone.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill import constants as K
+from lexmill import schemas as S
+from lexmill.operators import quality as Q
+from lexmill.operators import reports as R
 from lexmill.operators.versions import first_seen_key
 from lexmill.plans import runs
 from lexmill.queries import raw
-from lexmill.queries.checks import CHECKS, DAILY, ENTRIES, ISO, LAST_RUN, TODAY
+from lexmill.queries.checks import CHECKS, DAILY, ENTRIES, ISO, LAST_RUN, O, SLASH, TODAY, _latest, _url
 from lexmill.queries.registry import after_checkpoint, page_fields_table, query
 from lexmill.session import run_path
-from lexmill.sources import files, snapshots
+from lexmill.sources import files, sinks, snapshots
 from lexmill.streaming import jobs, late
 
 DAYS = K.LATE_BUFFER_DAYS
@@ -217,3 +220,63 @@ CHECKS["backfill_counts"] = f"""WITH {ENTRIES}, l AS (SELECT DISTINCT document_i
     SELECT 'law-' || c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'))
   SELECT 'backfill_1' AS runId, (SELECT count(*) FROM past) AS entries, (SELECT count(*) FROM l) AS laws,
     (SELECT count(*) FROM l) - (SELECT count(*) FROM s) AS remaining, (SELECT count(*) FROM s) AS skipped"""
+
+
+@query
+def widening_sample(spark, sf):
+    """The first 25 laws of stored sitemap pages, read up to the page that brings the 25th."""
+    path = run_path(spark, "sitemaps")
+    pages = raw.sitemap_pages(spark, sf)
+    pages.repartitionByRange("page").sortWithinPartitions("page").write.parquet(path)
+    stored = spark.read.schema(pages.schema).parquet(path)
+    return runs.sample_versions(stored, raw.TODAY, 25).select("document_id", "url", "entry_date")
+
+
+CHECKS["widening_sample"] = f"""WITH {ENTRIES}, f AS (
+    SELECT document_id, min(page * 10 + pos) AS first FROM past GROUP BY 1 ORDER BY first LIMIT 25),
+  seen AS (SELECT past.* FROM past WHERE page <= (SELECT max(first) // 10 FROM f)),
+  l AS ({_latest('seen')})
+  SELECT document_id, url, entry_date FROM l JOIN f USING (document_id)"""
+
+
+# --- files ---------------------------------------------------------------------------
+
+
+@query
+def array_documents(spark, sf):
+    """All acts as one JSON array file, read back in byte ranges."""
+    path = run_path(spark, "array")
+    acts = raw.order_acts(spark, sf).withColumn("legal_act_relations", F.array().cast(S.RELATIONS))
+    number = F.row_number().over(Window.orderBy(F.expr("int(substring(legal_act.document_id, 7))")))
+    lines = acts.select(
+        number.alias("n"),
+        F.concat(F.when(number == 1, "[").otherwise(","), F.to_json(F.struct("legal_act", "legal_act_relations"))).alias("value"),
+    )
+    end = spark.range(1).select(F.lit(None).cast("int").alias("n"), F.lit("]").alias("value"))
+    # one file is one task to write, but not to read
+    lines.unionByName(end).coalesce(1).sortWithinPartitions(F.asc_nulls_last("n")).select("value").write.text(path)
+    act = F.from_json("raw", S.DOCUMENT)["legal_act"]
+    return files.read_documents(spark, path).select(
+        "root_ok", "pos", act["document_id"].alias("document_id"), act["url"].alias("url")
+    )
+
+
+CHECKS["array_documents"] = f"""WITH {O}
+  SELECT true AS root_ok, CAST(row_number() OVER (ORDER BY k) - 1 AS INT) AS pos, 'order-' || k AS document_id,
+    {_url('d', 't', SLASH)} AS url FROM o"""
+
+
+@query
+def named_reports(spark, sf):
+    """Reports under their exchange names, an example among them that is left out, and their verdicts."""
+    path = run_path(spark, "named")
+    outcomes = files.parse_outcomes(raw.accumulator_lines(spark, sf))
+    for run, mode in (("a", "backfill"), ("b", "daily"), ("example", "daily")):
+        sinks.write_report_file(R.nest_report(R.run_report(outcomes, mode, run, raw.LAST_RUN)), path, run)
+    read = files.read_run_reports(spark, path)
+    parsed = F.from_json("raw", S.RUN_REPORT)
+    fields = [parsed[c].alias(c) for c in ("runId", "mode", "newDocuments", "errors")]
+    return read.select("file", *fields).join(Q.report_verdicts(read).select("file", "verdict"), "file")
+
+
+CHECKS["named_reports"] = f"SELECT * REPLACE (file || '.json' AS file) FROM ({CHECKS['stored_reports']})"

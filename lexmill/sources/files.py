@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from lexmill import constants as K
 from lexmill import schemas as S
 from lexmill.functions.text import compute_once, strip
+from lexmill.sources.arrays import read_array_files
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -77,21 +78,11 @@ def read_accumulator(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw documents of one or more JSON array files: ``file, pos, raw``.
+    """Raw documents of one or more JSON array files: ``file, root_ok, pos, raw``.
 
-    ``pos`` and ``raw`` are null for an empty array; ``root_ok`` is false for a file whose
-    root is no array. An array file does not split, so this is for files at the edge;
-    large collections come as lines through :func:`read_document_lines`.
+    Large files are read in byte ranges, see :func:`read_array_files`.
     """
-    whole = spark.read.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_name").alias("file"),
-        F.from_json("value", T.ArrayType(T.StringType())).alias("items"),
-    )
-    return whole.select(
-        "file",
-        F.col("items").isNotNull().alias("root_ok"),
-        F.posexplode_outer("items").alias("pos", "raw"),
-    )
+    return read_array_files(spark, *paths)
 
 
 def read_document_lines(spark: SparkSession, *paths: str) -> DataFrame:

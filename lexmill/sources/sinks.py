@@ -72,6 +72,18 @@ def write_run_report(report: DataFrame, path: str, run_id: str) -> None:
     )
 
 
+def write_report_file(report: DataFrame, path: str, run_id: str) -> None:
+    """One report row as the single file ``run_report_<run_id>.json``, as the exchange format names it."""
+    text = report.select(F.to_json(F.struct(*report.columns), {"ignoreNullFields": "false"})).first()[0]  # one row
+    session = report.sparkSession
+    target = session._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/run_report_{run_id}.json")
+    stream = target.getFileSystem(session._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
 def commit_checkpoint(
     report: DataFrame,
     path: str,

@@ -11,8 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from lexmill import constants as K
 from lexmill.operators.reports import error_rate
 from lexmill.operators.versions import latest_version
+from lexmill.sources.files import rows_or_none
 
 BATCH = "batch_id"
+PUBLISHED = T.StructType([T.StructField(c, T.LongType()) for c in ("rows", "errors", BATCH)])
 
 
 class BatchRejected(RuntimeError):
@@ -53,8 +55,8 @@ def error_rate_windows(stream: DataFrame, ts: str, failed, width: str = "1 day")
     )
 
 
-def guarded_batch(batch: DataFrame, batch_id: int, limit: float = K.COMMIT_ERROR_RATE) -> None:
-    """Raise if the batch's error rate reaches ``limit``; call it before any write.
+def guarded_batch(batch: DataFrame, batch_id: int, limit: float = K.COMMIT_ERROR_RATE) -> tuple[int, int]:
+    """Rows and errors of a batch; raises if their rate reaches ``limit``. Call it before it is published.
 
     The query then fails, and its next start replays the same batch.
     """
@@ -64,6 +66,7 @@ def guarded_batch(batch: DataFrame, batch_id: int, limit: float = K.COMMIT_ERROR
     ).select("errors", "fetched", error_rate().alias("rate")).first()
     if row["rate"] >= limit:
         raise BatchRejected(f"batch {batch_id}: {row['errors']} of {row['fetched']} failed")
+    return row["fetched"], row["errors"]
 
 
 def each_batch(
@@ -90,22 +93,44 @@ def write_batches(
     """Work off the stream; each batch goes to its own folder ``batch_id=N`` under ``out``.
 
     A replayed batch overwrites its own folder, so every row is stored once. With ``guard``
-    the transformed batch must have outcome rows; it is stored in a folder beside ``out``,
-    checked there and published after, so nothing is computed twice or kept in memory.
+    the transformed batch must have outcome rows. It is written once, below ``out/data``, and checked
+    there; only then is it named in the manifest below ``out/published``. Readers go by the manifest
+    (:func:`read_published`), so a rejected batch is never seen; a listed one is not written again.
     """
+    base = out.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows, name = transform(batch), f"{BATCH}={batch_id}"
-        if guard is not None:
-            staged = f"{out.rstrip('/')}-staged/{name}"
-            rows.write.mode("overwrite").parquet(staged)
-            rows = batch.sparkSession.read.schema(rows.schema).parquet(staged)
-            guarded_batch(rows, batch_id, guard)
-        rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+        if guard is None:
+            rows.write.mode("overwrite").parquet(f"{base}/{name}")
+            return
+        spark = batch.sparkSession
+        if not read_manifest(spark, base).where(F.col(BATCH) == batch_id).isEmpty():
+            return
+        rows.write.mode("overwrite").parquet(f"{base}/data/{name}")
+        stored = spark.read.schema(rows.schema).parquet(f"{base}/data/{name}")
+        fetched, errors = guarded_batch(stored, batch_id, guard)
+        listed = spark.range(1).select(F.lit(fetched).alias("rows"), F.lit(errors).alias("errors"))
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{base}/published/{name}")
 
     return each_batch(stream, checkpoint, write, output_mode)
 
 
+def read_manifest(spark: SparkSession, out: str) -> DataFrame:
+    """``rows, errors, batch_id`` of each batch that a guarded stream published."""
+    return rows_or_none(spark, f"{out.rstrip('/')}/published", PUBLISHED)
+
+
+def read_published(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """Rows of all published batches, with ``batch_id``; the manifest has a row per batch."""
+    base = f"{out.rstrip('/')}/data"
+    full = T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())])
+    listed = [f"{base}/{BATCH}={r[BATCH]}" for r in read_manifest(spark, out).select(BATCH).collect()]
+    if not listed:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", base).parquet(*listed)
+
+
 def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     """All batches written so far, with ``batch_id``."""
     full = T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())])

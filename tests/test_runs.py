@@ -234,3 +234,20 @@ def test_page_scans(spark, tmp_path):
     frame = spark.createDataFrame([("a", "gesetz", "u", "2020-01-01", "x")], S.LAW_PAGES)
     frame.write.parquet(str(tmp_path / "pages"))
     assert rows(files.read_pages(spark, str(tmp_path / "pages"))) == rows(frame)
+
+
+def test_sample_reads_pages_until_the_laws_are_known(spark, tmp_path):
+    # page p holds law p // 3; a later version of law 0 lies on the last page
+    pages = [(p, f"<url><loc>{H}/01012020-l{p // 3}</loc></url>") for p in range(300)]
+    pages.append((300, f"<url><loc>{H}/01012021-l0</loc></url>"))
+    frame = spark.createDataFrame(pages, "page INT, xml STRING")
+    frame.repartitionByRange(16, "page").write.parquet(str(tmp_path / "pages"))
+    stored = spark.read.schema(frame.schema).parquet(str(tmp_path / "pages"))
+    got = runs.sample_versions(stored, "2026-04-10", 5)
+    assert rows(got, "document_id", "entry_date") == [(f"l{i}", "2020-01-01") for i in range(5)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(page,12)" in plan
+    # fewer laws than asked for: all pages are read, and the later version counts
+    every = runs.sample_versions(stored, "2026-04-10", 1000)
+    assert every.count() == 100 and rows(every.where("document_id = 'l0'"), "entry_date") == [("2021-01-01",)]
+    assert runs.sample_versions(stored.where("false"), "2026-04-10", 5).count() == 0

@@ -67,10 +67,20 @@ def test_bad_batch_is_replayed(spark, tmp_path):
     for _ in range(2):
         with pytest.raises(StreamingQueryException, match="1 of 2 failed"):
             run()
-    assert not (tmp_path / "out").exists()
+    schema = T.StructType([T.StructField("document_id", T.StringType()), T.StructField("kind", T.StringType())])
+    # written once and not listed
+    assert (tmp_path / "out" / "data" / "batch_id=0").exists()
+    assert jobs.read_published(spark, out, schema).count() == 0
     good["pages"] = True
     run()
-    assert rows(spark.read.parquet(out)) == [("a", "document", 0), ("b", "document", 0)]
+    assert rows(jobs.read_published(spark, out, schema)) == [("a", "document", 0), ("b", "document", 0)]
+    assert rows(jobs.read_manifest(spark, out)) == [(2, 0, 0)]
+    # the checkpoint is lost: the batch comes again with other rows, but it is listed already
+    good["pages"] = False
+    jobs.write_batches(
+        jobs.ingest_stream(spark, source, PAGES), out, str(tmp_path / "check2"), outcomes, guard=0.5
+    ).awaitTermination()
+    assert rows(jobs.read_published(spark, out, schema), "document_id", "kind") == [("a", "document"), ("b", "document")]
 
 
 def test_dedup_over_batches(spark, tmp_path):
