@@ -105,11 +105,10 @@ class Pair:
 
     def _cuts(self) -> bool:
         """Whether a single space between two other characters begins a token for both."""
-        setting = json.loads(self.a.to_str())
-        before = setting["pre_tokenizer"] or {}
+        before = json.loads(self.a.pre_tokenizer.__getstate__()) if self.a.pre_tokenizer else {}
         pieces = (self.b.id_to_piece(i) for i in range(self.b.vocab_size()))
         return (
-            setting["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+            self.a.normalizer is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
             and not before.get("add_prefix_space")
             and all(SPACE_MARK not in p.lstrip(SPACE_MARK) and (SPACE_MARK not in p[1:] or not p.strip(SPACE_MARK)) for p in pieces)
             and self.b.normalize(" a  b ") == f"{SPACE_MARK * 2}a{SPACE_MARK * 2}b{SPACE_MARK}"
