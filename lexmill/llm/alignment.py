@@ -15,7 +15,6 @@ asks once for each of its different pairs, whatever number of its documents hold
 """
 
 import hashlib
-import json
 import os
 import re
 from collections.abc import Iterator
@@ -30,7 +29,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from lexmill.llm.common import stored
-from lexmill.llm.packing import byte_letters
+from lexmill.llm.packing import byte_letters, is_byte_level
 
 BLOCK_BYTES = 4_000_000
 BULK_CHARS = 50_000
@@ -105,11 +104,9 @@ class Pair:
 
     def _cuts(self) -> bool:
         """Whether a single space between two other characters begins a token for both."""
-        before = json.loads(self.a.pre_tokenizer.__getstate__()) if self.a.pre_tokenizer else {}
         pieces = (self.b.id_to_piece(i) for i in range(self.b.vocab_size()))
         return (
-            self.a.normalizer is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
-            and not before.get("add_prefix_space")
+            is_byte_level(self.a)
             and all(SPACE_MARK not in p.lstrip(SPACE_MARK) and (SPACE_MARK not in p[1:] or not p.strip(SPACE_MARK)) for p in pieces)
             and self.b.normalize(" a  b ") == f"{SPACE_MARK * 2}a{SPACE_MARK * 2}b{SPACE_MARK}"
         )

@@ -8,13 +8,13 @@ windows rises as long as one of them exceeds the capacity.
 """
 
 import heapq
-import struct
+import json
 from collections.abc import Iterator
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,80 +25,72 @@ LOT = 320
 FINE_EVERY = 8
 FINE_PART = 64
 END_ID = 0
-CACHE_WORDS = 1_000_000
-CACHE_PARTS = 600_000
-
-# How the byte-level vocabulary parts a text, and its special token.
-PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SPECIAL = "<|endoftext|>"
 
+LONG_RUN = 1000
 
-class Unsafe(Exception):
-    """White space stands beside a space, so the text can't be cut there."""
+# Fixed value: how a byte-level vocabulary parts a text.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class WordIds(dict):
-    """Ids, as little-endian bytes, of a word with the space before it.
+class TextIds:
+    """Ids of texts, as little-endian bytes, by a tokenizer file.
 
-    A single space between two other characters always begins a new part of the text, so a
-    text may be cut there and its words looked up. The tokenizer sees a frequent word once. A
-    full table takes no more words; it only saves time.
+    What the tokenizer is, and its special strings, is read from the file. A byte-level vocabulary
+    whose ids rise in the order of its merges is merged by rank, which is faster. That serves texts
+    without special strings or very long runs whose characters are below U+0100, where all libraries
+    know the same letters, numbers and spaces. All other texts go to the tokenizer itself.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.path, self.tokenizer = path, None
 
-    def load(self) -> "WordIds":
+    def load(self) -> "TextIds":
         if self.tokenizer is None:
             self.tokenizer = Tokenizer.from_file(self.path)
-            self.model, self.parts, self.letters = self.tokenizer.model, {}, byte_letters()
-            self.pattern = regex.compile(PARTS)
-            self.loose = regex.compile(r"(?<=\S) (?=\S)")
+            self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.ranked = self._by_rank() if is_byte_level(self.tokenizer) else None
         return self
 
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise Unsafe
-        stem = word[:-1] if word[-1] in ".,;:!?" else word
-        if stem.isalpha() and max(stem) < "\u0250":  # one part of letters, and perhaps a sign
-            ids = self.part(" " + stem) + (self.part(word[-1]) if stem is not word else b"")
-        else:
-            ids = self.encode(" " + word)
-        if len(self) < CACHE_WORDS:
-            self[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids of any text."""
-        if SPECIAL in text:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
-        return b"".join([self.part(p) for p in self.pattern.findall(text)])
-
-    def part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            tokens = self.model.tokenize(part.encode("utf-8", "replace").decode("latin-1").translate(self.letters))
-            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            if len(self.parts) < CACHE_PARTS:
-                self.parts[part] = ids
-        return ids
+    def _by_rank(self) -> tiktoken.Encoding | None:
+        """The same vocabulary with ids as merge ranks; None if the ids do not rise with the merges."""
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        number = {letter: byte for byte, letter in byte_letters().items()}
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        made = [model["vocab"].get(a + b, -1) for a, b in pairs]
+        single = [model["vocab"].get(c, -1) for c in number]
+        ids = {t: i for t, i in model["vocab"].items() if t not in self.special}
+        rising = made == sorted(set(made)) and min(single) >= 0 and max(single) < min(made, default=1 << 31)
+        if not rising or model.get("ignore_merges") or len(ids) != len(made) + len(single):
+            return None
+        ranks = {bytes(number[c] for c in t): i for t, i in ids.items()}
+        return tiktoken.Encoding("ranked", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+
+    def _serves(self, text: str) -> bool:
+        if self.ranked is None or any(map(text.__contains__, self.special)):
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return max(map(len, text.split(" "))) < LONG_RUN and " " * LONG_RUN not in text
 
     def document(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = text.split(" ")
-        try:
-            if words[0][-1:].isspace() or not words[0]:
-                raise Unsafe
-            rest = b"".join(map(self.__getitem__, words[1:]))
-            return self.encode(words[0]) + rest
-        except Unsafe:
-            words = self.loose.split(text)
-            return self.encode(words[0]) + b"".join(
-                [self.encode(" " + w) if w[0].isspace() or w[-1].isspace() else self[w] for w in words[1:]]
-            )
+        if self._serves(text):
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+
+def is_byte_level(tokenizer: Tokenizer) -> bool:
+    """Whether the tokenizer parts a text by ``PARTS`` and merges bytes, and does nothing else."""
+    before = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
+    return (
+        tokenizer.normalizer is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+        and not before.get("add_prefix_space")
+    )
 
 
 def byte_letters() -> dict[int, str]:
@@ -127,6 +119,20 @@ def differencing(sizes: list[int], windows: int) -> tuple[np.ndarray, list[list[
     while len(heap) > 1:
         _, _, a, x = heapq.heappop(heap)
         _, _, b, y = heapq.heappop(heap)
+        if windows > 1 and (not a[1] or not b[1]):
+            if not a[1]:
+                a, x, b, y = b, y, a, x
+            # one part goes to the smallest sum, which moves up behind all that are not smaller
+            total, node = a[-1] + b[0], y[0]
+            if x[-1] >= 0:
+                children.append((int(x[-1]), int(node)))
+                node = n + len(children) - 1
+            at = windows - 1 - int(np.searchsorted(a[-2::-1], total))
+            sums = np.concatenate((a[:at], (total,), a[at:-1]))
+            nodes = np.concatenate((x[:at], (node,), x[at:-1]))
+            heapq.heappush(heap, (int(sums[-1] - sums[0]), order, sums, nodes))
+            order += 1
+            continue
         sums, y = a + b[::-1], y[::-1]
         nodes = np.where(x < 0, y, x)
         both = np.flatnonzero((x >= 0) & (y >= 0))
@@ -150,9 +156,16 @@ def differencing(sizes: list[int], windows: int) -> tuple[np.ndarray, list[list[
     return sums, members
 
 
-def pack_lot(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Windows of at most ``capacity``, by differencing with as many windows as that takes."""
-    windows = max(1, -(-sum(sizes) // capacity))
+def least_windows(sizes: list[int], capacity: int) -> int:
+    return max(1, -(-sum(sizes) // capacity))
+
+
+def pack_lot(sizes: list[int], capacity: int, spare: int = 0) -> list[list[int]]:
+    """Windows of at most ``capacity``, by differencing with as many windows as that takes.
+
+    The count begins ``spare`` windows above the least and rises while a window exceeds the capacity.
+    """
+    windows = least_windows(sizes, capacity) + spare
     while True:
         sums, members = differencing(sizes, windows)
         if sums[0] <= capacity:
@@ -178,13 +191,13 @@ def pack(
     rows are packed as often as they come, null ids stay null. ``sequence_id`` is unique over
     all tasks; its offsets run from 0 without gaps. No documents: no rows.
     """
-    # what is broadcast stays with a worker, and so do the words it has met
-    kept = docs.sparkSession.sparkContext.broadcast(SimpleNamespace(words=None))
+    # what is broadcast stays with a worker, and so does the loaded tokenizer
+    kept = docs.sparkSession.sparkContext.broadcast(SimpleNamespace(ids=None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if kept.value.words is None:
-            kept.value.words = WordIds(tokenizer_path).load()
-        table = kept.value.words
+        if kept.value.ids is None:
+            kept.value.ids = TextIds(tokenizer_path).load()
+        table = kept.value.ids
         base = TaskContext.get().partitionId() << 40
         emit = _Pieces(id_col, schema)
         rest: list[tuple] = []
@@ -229,14 +242,19 @@ class _Pieces:
 
     def __init__(self, id_col: str, schema: pa.Schema):
         self.id_col, self.schema, self.rows, self.bytes = id_col, schema, [], 0
+        self.spare = 0
 
     def add(self, doc_id, start, ids, tokens, sequence, offset) -> None:
         self.rows.append((doc_id, start, len(ids) // 4, ids, tokens, sequence, offset))
         self.bytes += len(ids) + 64
 
     def windows(self, rest, capacity, base, sequence) -> int:
-        """Pack the parts; returns the next free sequence."""
-        for members in pack_lot([len(r[2]) // 4 for r in rest], capacity):
+        """Pack the parts; returns the next free sequence. Lots are alike, so each begins one window
+        below what the last one needed."""
+        sizes = [len(r[2]) // 4 for r in rest]
+        found = pack_lot(sizes, capacity, max(0, self.spare - 1))
+        self.spare = len(found) - least_windows(sizes, capacity)
+        for members in found:
             offset = 0
             for i in members:
                 doc_id, start, ids, tokens = rest[i]

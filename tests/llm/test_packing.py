@@ -14,7 +14,7 @@ from tests.llm.helpers import docs
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
-TABLE = P.WordIds(PATH).load()
+TABLE = P.TextIds(PATH).load()
 
 
 def plain(text):
@@ -27,6 +27,25 @@ def test_ids_are_those_of_the_tokenizer(text):
     assert np.frombuffer(TABLE.document(text), dtype="<u4").tolist() == plain(text)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_what_the_tokenizer_is_comes_from_its_file(name):
+    path = public_tokenizers.path(name)
+    table, library = P.TextIds(path).load(), Tokenizer.from_file(path)
+    assert (table.ranked is not None) == P.is_byte_level(library) == (name == "byte_bpe_50k.json")
+    texts = ["The Straße, don't\n stop 123!", "<|endoftext|> a <|startoftext|>b", "", None, "x" * 1500, " " * 1500, "a  b", "ABC " * 500]
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in map(table.document, texts)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_a_single_part_joins_like_any_other():
+    rng = random.Random(8)
+    for windows in (1, 2, 3, 7):
+        sizes = [rng.randint(1, 50) for _ in range(30)]
+        sums, members = P.differencing(sizes, windows)
+        assert sorted(i for m in members for i in m) == list(range(30))
+        assert [sum(sizes[i] for i in m) for m in members] == sums.tolist() == sorted(sums.tolist(), reverse=True)
+
+
 @pytest.mark.parametrize("text", ["", " ", "  a", "a  b", "a \nb", "x <|endoftext|> y", "don't we'll 's", "a b ", "\n a"])
 def test_ids_with_odd_spaces(text):
     assert np.frombuffer(TABLE.document(text), dtype="<u4").tolist() == plain(text)
