@@ -23,7 +23,9 @@ def query(function):
 
 @query
 def op1_secrets(spark, sf):
-    found = secrets.find_secrets(table(spark, sf, "documents"))
+    found = secrets.find_secrets(
+        table(spark, sf, "documents"), vocabulary=public_tokenizers.path("byte_bpe_50k.json")
+    )
     kinds = F.transform("secrets", lambda s: s["kind"])
     counts = [
         (F.size("secrets") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secrets.KINDS[:3]

@@ -5,6 +5,7 @@ keyboard or alphabet walks and brute-force characters, found by dynamic programm
 binary logarithms of guesses, so those of the segments add up.
 """
 
+import json
 import math
 import re
 from collections.abc import Iterator
@@ -54,11 +55,12 @@ WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "qazwsxedcrfvtgbyhn
          "0123456789", "1qaz2wsx3edc4rfv5tgb6yhn7ujm8ik9ol0p")
 CHAR_BITS = math.log2(10)
 SEGMENT_BITS = 1.0
-LONGEST_WORD = max(map(len, WORDS))
 DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])"
                   r"|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d)", re.ASCII)
 DATE_BITS = math.log2(365 * 60)
 YEAR_BITS = math.log2(120)
+DATE_LENGTHS = (4, 6, 7, 8, 9, 10)
+WALK_BITS = math.log2(47 * 4)
 _NEXT = {(a, b) for w in WALKS for a, b in zip(w, w[1:], strict=False)}
 _NEXT |= {(b, a) for a, b in _NEXT}
 
@@ -73,52 +75,119 @@ def _case_bits(text: str) -> float:
     return math.log2(sum(math.comb(len(text), i) for i in range(1, min(upper, len(text) - upper) + 1)) + 1)
 
 
-def guess_bits(value: str) -> float:
-    """Binary logarithm of the guesses that the cheapest segmentation of a whole value takes."""
+class Dictionary:
+    """Words and the binary logarithm of their rank: the fixed list, and the words of a public vocabulary.
+
+    In a byte-level vocabulary a token that begins with a blank and has only letters is a word, and
+    ids rise as words get rarer. The file is read when the first word is looked up.
+    """
+
+    def __init__(self, path: str | None = None):
+        self.path, self.bits, self.longest = path, None, 0
+
+    def load(self) -> "Dictionary":
+        if self.bits is None:
+            self.bits = {}
+            if self.path is not None:
+                with open(self.path, encoding="utf-8") as file:
+                    vocabulary = json.load(file)["model"]["vocab"]
+                for token, rank in vocabulary.items():
+                    word = token[1:].lower()
+                    if token[0] == "\u0120" and len(word) >= 3 and word.isascii() and word.isalpha():
+                        self.bits[word] = min(self.bits.get(word, math.inf), math.log2(rank + 2))
+            self.bits |= WORD_BITS
+            self.longest = max(map(len, self.bits))
+        return self
+
+    def holds(self, word: str) -> bool:
+        return word.lower() in self.load().bits
+
+
+FIXED = Dictionary()
+
+
+class _Runs:
+    """Starts from which a segment of a growing run may begin, each with the cost up to there.
+
+    A segment of a run costs a constant and the logarithm of its length. What a later start gains by
+    that over an earlier one is greatest for the shortest segment and shrinks from there, so a start
+    that costs more by then never wins; and an earlier start that costs no less than a later one never
+    does. Few starts are left, whatever the length of the run.
+    """
+
+    def __init__(self, shortest: int):
+        self.shortest, self.starts = shortest, []
+
+    def add(self, start: int, cost: float) -> None:
+        for s, c in self.starts:
+            if cost >= c + math.log2((start - s + self.shortest) / self.shortest):
+                return
+        self.starts = [(s, c) for s, c in self.starts if c < cost] + [(start, cost)]
+
+    def best(self, end: int, unit: int) -> float:
+        return min((c + math.log2((end - s) // unit) for s, c in self.starts), default=math.inf)
+
+
+def guess_bits(value: str, words: Dictionary = FIXED, _known: dict[str, float] | None = None) -> float:
+    """Binary logarithm of the guesses that the cheapest segmentation of a whole value takes.
+
+    Segments are words (plain, reversed, with signs for letters, with capitals), dates, walks of three
+    or more keys, three or more equal characters, units of two to eight characters that come twice
+    or more (the unit costs what it costs alone), and brute-force spans. All of them, at every
+    place and of every length, take part.
+    """
     n = len(value)
+    known = {} if _known is None else _known
+    table = words.load().bits
     lower = value.lower() if len(value.lower()) == n else value
     plain = lower.translate(LEET)
     cost = [0.0] + [math.inf] * n
     brute = [math.inf] * (n + 1)
-    walk = [1] * n
-    same = [1] * n
-    for i in range(1, n):
-        walk[i] = walk[i - 1] + 1 if (lower[i - 1], lower[i]) in _NEXT else 1
-        same[i] = same[i - 1] + 1 if value[i] == value[i - 1] else 1
-    periods = {p: 0 for p in range(2, 9)}
-    dates: dict[int, list[tuple[int, float]]] = {}
-    for start in range(n):
-        if value[start].isdigit() and (m := DATE.match(value, start)):
-            bits = YEAR_BITS if m.end() - start == 4 else DATE_BITS + (2.0 if m[1] or m[2] else 0.0)
-            dates.setdefault(m.end(), []).append((start, bits))
+    # by kind of run (0 walks, 1 equal characters, p units of p): the run's begin, and its starts by their
+    # place in a unit
+    begin = [0] * 9
+    runs: list[dict[int, _Runs]] = [{} for _ in range(9)]
+
+    def step(kind: int, end: int, goes_on: bool, least: int, unit: int, fixed) -> None:
+        """Let the run of a kind grow to ``end`` and take its cheapest segment that ends there."""
+        nonlocal best
+        if not goes_on:
+            begin[kind] = end - unit
+            runs[kind] = {}
+        start = end - least * unit
+        if start < begin[kind]:
+            return
+        own = runs[kind].setdefault(end % unit, _Runs(least * unit))
+        own.add(start, cost[start])
+        best = min(best, own.best(end, unit) + fixed() + SEGMENT_BITS)
+
     for end in range(1, n + 1):
         last = end - 1
         # a brute-force character joins a run of such or begins one
         best = brute[end] = min(brute[last], cost[last] + SEGMENT_BITS) + CHAR_BITS
-        options = list(dates.get(end, ()))
-        for length in range(3, min(LONGEST_WORD, end) + 1):
+        for length in range(3, min(words.longest, end) + 1):
             word = plain[end - length : end]
             for form, extra in ((word, 0.0), (word[::-1], 1.0)):
-                bits = WORD_BITS.get(form)
+                bits = table.get(form)
                 if bits is not None:
-                    raw = value[end - length : end]
                     leet = 0.0 if lower[end - length : end] == word else 1.0
-                    options.append((end - length, bits + extra + leet + _case_bits(raw)))
-        if walk[last] >= 3:
-            for length in {walk[last], 3}:
-                options.append((end - length, math.log2(47 * 4) + math.log2(length)))
-        if same[last] >= 3:
-            for length in {same[last], 3}:
-                options.append((end - length, CHAR_BITS + math.log2(length)))
-        for p in periods:
-            periods[p] = periods[p] + 1 if last >= p and value[last] == value[last - p] else 0
-            if periods[p] >= p:
-                times = periods[p] // p
-                start = end - p * (times + 1)
-                unit = min(cost[start + p] - cost[start], p * CHAR_BITS)
-                options.append((start, max(unit, 0.0) + math.log2(times + 1)))
-        for start, bits in options:
-            best = min(best, cost[start] + bits + SEGMENT_BITS)
+                    case = _case_bits(value[end - length : end])
+                    best = min(best, cost[end - length] + bits + extra + leet + case + SEGMENT_BITS)
+        if value[last].isdigit():
+            for length in DATE_LENGTHS:
+                if length <= end and (m := DATE.fullmatch(value, end - length, end)):
+                    bits = YEAR_BITS if length == 4 else DATE_BITS + (2.0 if m[1] or m[2] else 0.0)
+                    best = min(best, cost[end - length] + bits + SEGMENT_BITS)
+        walks = last > 0 and (lower[last - 1], lower[last]) in _NEXT
+        step(0, end, walks, 3, 1, lambda: WALK_BITS)
+        step(1, end, last > 0 and value[last] == value[last - 1], 3, 1, lambda: CHAR_BITS)
+        for p in range(2, 9):
+            def unit_bits(unit: str = value[max(end - p, 0) : end]) -> float:
+                if unit not in known:
+                    known[unit] = guess_bits(unit, words, known)
+                return known[unit]
+
+            step(p, end, last >= p and value[last] == value[last - p], 2, p, unit_bits)
         cost[end] = best
     return cost[n]
 
@@ -131,14 +200,27 @@ def base_spans(text: str) -> list[tuple]:
     return found
 
 
-def guessed_spans(text: str, base: list[tuple], bits: float = GUESS_BITS) -> list[tuple]:
-    """Values in a credential context that take ``bits`` or more and that no base span holds whole."""
+def is_prose(value: str, words: Dictionary) -> bool:
+    """Several words, all of them of the dictionary or of one or two letters."""
+    parts = [p.strip(".,;:!?()") for p in value.split()]
+    return len(parts) > 1 and all(p.isalpha() and (len(p) <= 2 or words.holds(p)) for p in parts if p)
+
+
+def guessed_spans(text: str, base: list[tuple], bits: float = GUESS_BITS, words: Dictionary = FIXED) -> list[tuple]:
+    """Values in a credential context that take ``bits`` or more and that no base span holds whole.
+
+    Words in a row are hard to guess as well, but a sentence is no secret: it counts only where the
+    name says that it is a passphrase.
+    """
     found = []
     for m in CONTEXT.finditer(text):
         start, end = next(m.span(k) for k in (1, 2, 3) if m[k] is not None)
         if any(s <= start and end <= e for _, s, e, _, _ in base):
             continue
-        if guess_bits(text[start:end]) >= bits:
+        value = text[start:end]
+        if is_prose(value, words) and not m[0].lower().startswith("passphrase"):
+            continue
+        if guess_bits(value, words) >= bits:
             found.append(("guess", m.start(), end, start, end))
     return found
 
@@ -157,24 +239,28 @@ def may_hold_secret(text: str) -> bool:
     )
 
 
-def spans(text: str | None, bits: float = GUESS_BITS) -> list[tuple]:
+def spans(text: str | None, bits: float = GUESS_BITS, words: Dictionary = FIXED) -> list[tuple]:
     """All spans of a whole text by start, then kind, with the cost of each value."""
     if not text or not may_hold_secret(text):
         return []
     base = base_spans(text)
-    found = base + guessed_spans(text, base, bits)
+    found = base + guessed_spans(text, base, bits, words)
     found.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-    return [(*s, guess_bits(text[s[3] : s[4]])) for s in found]
+    return [(*s, guess_bits(text[s[3] : s[4]], words)) for s in found]
 
 
 def find_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: float = GUESS_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: float = GUESS_BITS,
+    vocabulary: str | None = None,
 ) -> DataFrame:
     """``id_col, secrets``: an array of ``SCHEMA`` structs per row, empty where there are none.
 
     Places are code points, ends exclusive. Null and empty texts have none. Repeated rows come
     out as often as they came in, null ids stay null. Texts of any length are scanned whole.
+    ``vocabulary`` is the file of a byte-level vocabulary, whose words join the dictionary.
     """
+    # what is broadcast stays with a worker, and so do the words once they are read
+    words = docs.sparkSession.sparkContext.broadcast(Dictionary(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in SCHEMA.split(", ")]
@@ -182,7 +268,7 @@ def find_secrets(
         kind = pa.list_(pa.struct(list(zip(names, kinds, strict=True))))
         for batch in batches:
             found = [
-                [dict(zip(names, s, strict=True)) for s in spans(t.as_py(), bits)] for t in batch.column(1)
+                [dict(zip(names, s, strict=True)) for s in spans(t.as_py(), bits, words.value)] for t in batch.column(1)
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=[id_col, "secrets"])
 
@@ -193,9 +279,9 @@ def find_secrets(
     )
 
 
-def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
+def redacted(text: str | None, mark: str = "[SECRET]", words: Dictionary = FIXED) -> str | None:
     """The text with the value of each secret replaced; values that overlap are one."""
-    values = sorted((s[3], s[4]) for s in spans(text))
+    values = sorted((s[3], s[4]) for s in spans(text, words=words))
     if not values:
         return text
     parts, at = [], 0
@@ -206,14 +292,17 @@ def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
     return "".join(parts) + text[at:]
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact(
+    docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", vocabulary: str | None = None
+) -> DataFrame:
     """The documents with secret values replaced by ``mark``; all other columns as they are."""
+    words = docs.sparkSession.sparkContext.broadcast(Dictionary(vocabulary))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(at)
-            clean = pa.array([redacted(t.as_py(), mark) for t in column], type=column.type)
+            clean = pa.array([redacted(t.as_py(), mark, words.value) for t in column], type=column.type)
             columns = [clean if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 

@@ -1,8 +1,10 @@
+import functools
 import hashlib
 import itertools
 import math
 import re
 
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -72,33 +74,80 @@ def test_costly_values_are_added_and_cheap_ones_not():
     assert TEXTS[11][value_start:value_end] == "kJ8#mQ2$vL9@pR" and end == value_end and bits > 40
 
 
+@functools.cache
+def segment_cost(part):
+    """Cost of one segment by every kind there is, each in its plainest form."""
+    n, options = len(part), [len(part) * S.CHAR_BITS]
+    low = part.lower()
+    plain = low.translate(S.LEET)
+    for form, extra in ((plain, 0), (plain[::-1], 1)):
+        if n >= 3 and form in S.WORD_BITS:
+            options.append(S.WORD_BITS[form] + extra + (low != plain) + S._case_bits(part))
+    if n >= 3 and all(any(low[i : i + 2] in w or low[i : i + 2][::-1] in w for w in S.WALKS) for i in range(n - 1)):
+        options.append(S.WALK_BITS + math.log2(n))
+    if n >= 3 and len(set(part)) == 1:
+        options.append(S.CHAR_BITS + math.log2(n))
+    for p in range(2, min(8, n // 2) + 1):
+        if n % p == 0 and part == part[:p] * (n // p):
+            options.append(brute_force(part[:p]) + math.log2(n // p))
+    if S.DATE.fullmatch(part):
+        signs = sum(not c.isdigit() for c in part)
+        options.append(S.YEAR_BITS if n == 4 else S.DATE_BITS + (2 if signs else 0))
+    return min(options) + S.SEGMENT_BITS
+
+
+@functools.cache
 def brute_force(value):
-    """The same costs over every segmentation of a short value into brute-force runs and words."""
-    n, best = len(value), math.inf
-    for cuts in itertools.product([0, 1], repeat=n - 1):
+    """The least cost over every segmentation of a short value."""
+    best = math.inf if value else 0.0
+    for cuts in itertools.product([0, 1], repeat=max(len(value) - 1, 0)):
         parts, at = [], 0
         for i, c in enumerate(cuts, 1):
             if c:
                 parts.append(value[at:i])
                 at = i
-        parts.append(value[at:])
-        total = 0
-        for p in parts:
-            options = [len(p) * S.CHAR_BITS]
-            if p in S.WORD_BITS:
-                options.append(S.WORD_BITS[p])
-            if len(p) >= 3 and len(set(p)) == 1:
-                options.append(S.CHAR_BITS + math.log2(len(p)))
-            total += min(options) + S.SEGMENT_BITS
-        best = min(best, total)
+        best = min(best, sum(map(segment_cost, [*parts, value[at:]])) if value else 0.0)
     return best
 
 
-@pytest.mark.parametrize("value", ["passwordz", "zpassmq", "kkkkkvm", "mvtestpv", "zvkmpwz", "admintest"])
+@pytest.mark.parametrize("value", ["passwordz", "zpassmq", "kkkkkvm", "mvtestpv", "adminbvcxz", "qwqwqwqwqw", "ababcabab",
+                                   "2019-3-14", "y1999abab", "P@ssnimd", "asdfdsas", "xyxyxyzzz"])
 def test_cheapest_segmentation(value):
     assert S.guess_bits(value) == pytest.approx(brute_force(value))
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sampled_from(["ab", "a", "qwe", "test", "123", "2020", "-", "1", "nimda", "T", "dsa", "aa"]), max_size=6))
+def test_cheapest_segmentation_of_mixed_values(parts):
+    value = "".join(parts)[:7]
+    assert S.guess_bits(value) == pytest.approx(brute_force(value))
+
+
+def test_walks_join_words():
+    assert S.guess_bits("adminbvcxz") <= 13.9
+
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_prose_is_no_secret(spark):
+    words = S.Dictionary(VOCABULARY)
+    for text in ("credentials: information about the event", '{"secret": "the meeting is tomorrow at noon in the park"}',
+                 "credential: documentation", "password - see the understanding", 'key: "of course, we do."'):
+        assert S.redacted(text, words=words) == text, text
+    for text in ('passphrase = "zebra quantum 9kX lamp"', 'passphrase: "correct horse battery staple lamp"',
+                 'secret = "Tr0ub4dor 9xQz!7Lm w2"', "pwd=kJ8#mQ2$vL9@pR"):
+        assert "[SECRET]" in S.redacted(text, words=words), text
+    frame = docs(spark, ["credentials: information about the event", f"token={HEX40}"])
+    assert [r.text for r in S.redact(frame, vocabulary=VOCABULARY).orderBy("doc_id").collect()] == [
+        "credentials: information about the event", "token=[SECRET]"]
+
+
+def test_long_values_take_time_in_proportion():
+    for value in ("x" * 5000, "qw" * 2500, "abcdefgh" * 600, "ab1" * 1500):
+        assert S.guess_bits(value) < 60
+
+
 def test_order_of_costs():
     cheap = ["password", "P@ssw0rd", "qwertyuiop", "2019-03-04", "aaaaaaaaaaaa", "abcabcabcabc", "drowssap"]
     assert all(S.guess_bits(v) < 25 for v in cheap), [(v, S.guess_bits(v)) for v in cheap]
