@@ -24,7 +24,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret values are replaced by a mark; no document goes. ``n_chars`` follows the text."""
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return secrets.redact(docs).withColumn("n_chars", F.coalesce(length, "n_chars"))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return secrets.redact(docs, vocabulary=vocabulary).withColumn("n_chars", F.coalesce(length, "n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
