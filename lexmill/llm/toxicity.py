@@ -96,8 +96,8 @@ def fit(
 ) -> Model:
     """Fit on at most about ``positives`` toxic and ``unlabelled`` other documents.
 
-    Both samples are drawn by a hash of the id, at rates from counts over all rows; a row counts
-    as unlabelled if its id has no label. If nearly all rows have one, the second sample is drawn
+    Both samples are drawn by a hash of the id, at rates from counts over all rows, a row for each
+    drawn id (of repeated rows the smallest text); a row counts as unlabelled if its id has no label. If nearly all rows have one, the second sample is drawn
     from all of them: it stands for the whole table either way. The class prior is the share of
     toxic ids among all labelled ones. Without toxic examples every score is the prior.
     """
@@ -123,10 +123,11 @@ def fit(
         (F.coalesce(F.col("_toxic") == 1, F.lit(False)) & (F.col("_h") < rate(positives, total.p))).alias("_p"),
         (other & (F.col("_h") < rate(unlabelled, free if enough else total.n))).alias("_u"),
     ).where("_p or _u")
-    # both rates bound the rows of this side, so it can be sent to every task
+    # both rates bound the rows of this side, so it can be sent to every task; an id that is repeated,
+    # however often, gives one row, reduced where it is read
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("_text")).join(F.broadcast(drawn), id_col)
     sample = stored(
-        docs.select(F.col(id_col), F.col(text_col).alias("_text")).join(F.broadcast(drawn), id_col)
-        .select("_p", "_u", "_text").repartition(16),
+        texts.groupBy(id_col, "_p", "_u").agg(F.min("_text").alias("_text")).select("_p", "_u", "_text").repartition(16),
         "toxic_sample",
     )
 

@@ -79,3 +79,12 @@ def test_nothing_to_learn(spark):
     assert X.fit(frame.where("false"), labels).score("a") < 0.5
     only = X.fit(frame, labels.where("toxic = 1"))
     assert 0 <= only.score("grumblor") <= 1
+
+
+def test_a_repeated_row_teaches_once(spark):
+    frame, labels, _ = corpus(spark, n=300)
+    first = labels.where("toxic = 1").first().doc_id
+    many = frame.where(F.col("doc_id") == first).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n")
+    one, two = X.fit(frame, labels), X.fit(frame.unionByName(many), labels)
+    assert one.buckets.tolist() == two.buckets.tolist()
+    assert np.allclose(one.weights, two.weights)
