@@ -6,6 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill import constants as K
 from lexmill import schemas as S
 from lexmill.constants import JURISDICTIONS
 from lexmill.functions import text as X
@@ -161,7 +162,7 @@ def page_texts(spark, sf):
     whole = raw.pages(spark, sf).select(
         "page_id", X.extract_body_text("html", None).alias("body_text")
     )
-    return whole.withColumn("text_content", F.substring("body_text", 1, 2500))
+    return whole.withColumn("text_content", F.substring("body_text", 1, K.TEXT_CHARS))
 
 
 @query
