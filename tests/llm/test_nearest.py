@@ -73,3 +73,41 @@ def test_ties_common_vectors_and_unsound_rows(spark):
 def test_quantile():
     assert N.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
     assert N.chi_square_quantile(0.5, 2) == pytest.approx(1.386, abs=1e-3)
+
+
+def test_cells_hold_every_point_and_few_are_asked(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    sample = np.r_[rng.normal(size=(500, 4)), np.zeros((500, 4))]
+    cells = N.Cells(sample, 16)
+    leaves = set(np.flatnonzero(cells.axis < 0).tolist())
+    placed = cells.of(rng.normal(size=(3000, 4)) * 3)
+    assert set(placed.tolist()) <= leaves and 8 <= len(leaves) <= 64
+    assert len(set(cells.of(np.zeros((9, 4))).tolist())) == 1 and set(N.Cells(sample[:0], 4).of(sample).tolist()) == {0}
+
+    # clusters far apart: a query asks the blocks near it, also when the rows grow
+    asked = {}
+    keep = N.stored
+
+    def noted(df, name):
+        kept = keep(df, name)
+        if name.endswith("_asked"):
+            asked[name] = kept.count()
+        return kept
+
+    monkeypatch.setattr(N, "stored", noted)
+    centres = 40 * rng.normal(size=(16, 24))
+    for n in (1600, 6400):
+        rows = frame(spark, {i: centres[i % 16] + rng.normal(size=24) for i in range(n)})
+        found = N.nearest(rows, rows.where("vec_id % 100 = 0"), block_rows=100, sample=800)
+        assert found.count() == n // 10
+        assert asked["nearest_home_asked"] <= 4 * n // 100
+        assert asked["nearest_others_asked"] <= 12 * n // 100
+
+
+def test_rows_of_one_place_are_dealt_to_blocks(spark):
+    rows = frame(spark, {i: [1.0, 2.0] if i % 3 else [float(i), 1.0] for i in range(900)})
+    found = N.nearest(rows, rows.where("vec_id = 1 or vec_id = 300"), block_rows=40, query_rows=1).collect()
+    got = {q: [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (1, 300)}
+    assert got[1] == [i for i in range(2, 20) if i % 3][:10]
+    vectors = {i: [1.0, 2.0] if i % 3 else [float(i), 1.0] for i in range(900)}
+    assert got[300] == [i for _, i in brute(vectors, 300)]
