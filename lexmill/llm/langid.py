@@ -19,8 +19,8 @@ SAMPLE_PER_LANGUAGE = 600
 BUCKETS = 4096
 FEATURES = BUCKETS + 1024
 SPAN = 1 << 18
-#: Undecided in both steps is 0.25; of the 256 410 documents of check_l with a letter none scores below 0.279.
-LEAST_SCORE = 0.27
+LEAST_ROWS = 100
+MARGIN = 0.6
 
 # Families of languages by their codes; a code that is not listed is its own family.
 FAMILIES = {
@@ -84,6 +84,12 @@ class Model:
         self.members = {f: [g for g in self.languages if family[g] == f] for f in self.families}
         self.between = self._pairs(x, of, self.families)
         self.within = {f: self._pairs(x, labels, m) for f, m in self.members.items()}
+        self.centres = {g: self._centre(x[labels == g]) for g in self.languages}
+
+    @staticmethod
+    def _centre(x):
+        mean = x.mean(axis=0, dtype=np.float64)
+        return mean / (np.linalg.norm(mean) or 1)
 
     @staticmethod
     def _pairs(x, labels, names):
@@ -111,11 +117,21 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         if text is None or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        x = features(text)
+        return self._decide(features(text))
+
+    def _decide(self, x: np.ndarray) -> tuple[str, float]:
         family, first = self._choose(self.families, self.between, x)
         language, second = self._choose(self.members[family], self.within[family], x)
         return language, float(first * second)
 
+    def nearness(self, text: str | None) -> tuple[str, float]:
+        """The predicted language, and the cosine between the text and the middle of that language's sample."""
+        if text is None or not self.languages or not any(map(str.isalpha, text)):
+            return UNKNOWN, 0.0
+        x = features(text)
+        language = self._decide(x)[0]
+        return language, float(x @ self.centres[language])
+
 
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -189,18 +205,54 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return frame.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
-    """The documents that have a language, with a score of ``least`` or more; columns as they are.
+def _length_class(text: str) -> int:
+    return len(text.encode("utf-8", "replace")).bit_length()
+
 
-    A model without languages cannot judge: all documents that have a letter stay.
+def least_nearness(labelled: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> list[float]:
+    """How near a text must be to its predicted language, by length class (bits of its bytes; the last is open).
+
+    ``MARGIN`` times the least nearness of all labelled texts that long or longer whose label is predicted;
+    give rows that ``model`` was not fitted on. The longest texts share a class of ``LEAST_ROWS`` rows at
+    least. With fewer rows in all: empty, nothing is known.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                language, near = model.nearness(text)
+                if language == lang:
+                    found.append((_length_class(text), near))
+            columns = [pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bits", "near"])
+
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col), F.col(lang_col).cast("string"))
+    by_class = rows.mapInArrow(run, "bits int, near double").groupBy("bits").agg(F.min("near").alias("near"), F.count("near").alias("n"))
+    least, seen, limits = np.inf, 0, {}
+    for row in sorted(by_class.collect(), key=lambda r: -r.bits):  # a row for each length class
+        least, seen = min(least, row.near), seen + row.n
+        if seen >= LEAST_ROWS:
+            limits[row.bits] = MARGIN * least
+    made: list[float] = []
+    for bits in range(max(limits, default=-1), -1, -1):
+        made.append(limits.get(bits, made[-1] if made else 0.0))
+    return made[::-1]
+
+
+def keep_known(docs: DataFrame, model: Model, least: list[float] | None = None, text_col: str = "text") -> DataFrame:
+    """The documents that have a language and are near enough to it by ``least``; columns as they are.
+
+    Texts of languages that were not learned are far from all that were. Without ``least`` only documents
+    without a letter go. A model without languages cannot judge: all documents that have a letter stay.
     """
     at = docs.columns.index(text_col)
 
     def keeps(text: str | None) -> bool:
-        if not model.languages:
+        if not model.languages or not least:
             return text is not None and any(map(str.isalpha, text))
-        language, score = model.predict(text)
-        return language != UNKNOWN and score >= least
+        language, near = model.nearness(text)
+        return language != UNKNOWN and near >= least[min(_length_class(text), len(least) - 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

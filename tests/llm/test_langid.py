@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lexmill.llm import langid as L
@@ -80,21 +81,34 @@ def test_long_texts_count_whole():
     assert np.allclose(got / got.sum(), counts / counts.sum(), rtol=0.05, atol=1e-4)
 
 
-def test_stage_rejects_undecided_and_keeps_all_without_labels(spark):
+def test_stage_rejects_languages_not_learned(spark):
     import corpus_pipeline
-    from tests.llm.helpers import docs
 
-    words = {"en": "the and of ing tion", "de": "der und ung ein sch", "fr": "les eau oui des ment", "es": "del ción ado los que"}
-    languages = [g for g in words for _ in range(20)]
+    words = {
+        "en": "the and of in to that is was for with weather park house walking", "fr": "les eau oui des une dans pour que sur avec maison temps",
+        "de": "der und ung ein sch nicht mit auf wetter haus gehen park", "es": "del los que una por con para casa tiempo nación parque",
+    }
+    languages = [g for g in words for _ in range(200)]
     rng = random.Random(8)
-    texts = [" ".join(rng.choices(words[g].split(), k=rng.choice([2, 5, 60]))) for g in languages]
-    model = L.Model(np.stack([L.features(t) for t in texts]), languages)
-    frame = docs(spark, [*texts, "123", None])
-    assert sorted(r.doc_id for r in L.keep_known(frame, model).collect()) == list(range(len(texts)))
-    for machines in (model.between, *model.within.values()):
-        for pair in machines:
-            machines[pair] = np.zeros_like(machines[pair])
-    assert L.keep_known(frame, model).count() == 0  # tied in both steps: 0.25
-    unlabelled = frame.withColumn("lang", F.lit(None).cast("string"))
-    kept = corpus_pipeline.keep_known_languages(spark, unlabelled, "")
+    texts = [" ".join(rng.choices(words[g].split(), k=rng.choice([3, 20, 200]))) for g in languages]
+    other = ["Привет, как дела? Сегодня хорошая погода и мы идём гулять в парк. " * 9, "今日はいい天気ですね。公園に散歩に行きましょう。" * 20]
+    frame = docs(spark, [*texts, "123", None, "", *other]).drop("lang")
+    named = spark.createDataFrame([(i, languages[i] if i < len(texts) else None) for i in range(len(texts) + 5)], "doc_id long, lang string")
+    frame = frame.join(named, "doc_id").select("doc_id", "text", "lang", *[c for c in frame.columns if c not in ("doc_id", "text")])
+    kept = corpus_pipeline.keep_known_languages(spark, frame, "")
     assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == list(range(len(texts)))
+    unlabelled = frame.withColumn("lang", F.lit(None).cast("string"))  # nothing learned: all letters stay
+    kept = corpus_pipeline.keep_known_languages(spark, unlabelled, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(len(texts)), len(texts) + 3, len(texts) + 4]
+
+
+def test_least_nearness_by_length(spark):
+    frame, _ = corpus(spark, 300)
+    model = L.fit(frame)
+    rows = frame.collect()
+    near = [(len(r.text.encode()).bit_length(), model.nearness(r.text)[1]) for r in rows if model.nearness(r.text)[0] == r.lang]
+    least = L.least_nearness(frame, model)
+    for bits, limit in enumerate(least):
+        assert limit == pytest.approx(L.MARGIN * min(n for b, n in near if b >= bits))
+    assert sum(b >= len(least) - 1 for b, _ in near) >= L.LEAST_ROWS > sum(b >= len(least) for b, _ in near)
+    assert L.least_nearness(frame.limit(9), model) == [] and L.least_nearness(frame.where("false"), model) == []
