@@ -12,8 +12,10 @@ from lexmill.llm.common import held_out, stored, table
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without text or letters, and those whose language the machines can't tell, go."""
-    return langid.keep_known(docs, langid.fit(docs.where(~held_out("doc_id", 4, 2))))
+    """Documents without text or letters go, and those further from every learned language than held-out labelled ones are."""
+    known = ~held_out("doc_id", 4, 2)
+    model = langid.fit(docs.where(known))
+    return langid.keep_known(docs, model, langid.least_nearness(docs.where(~known), model))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
