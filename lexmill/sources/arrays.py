@@ -232,7 +232,8 @@ def read_array_files(spark: SparkSession, *paths: str) -> DataFrame:
         "path", nothing.alias("nothing"),
         F.coalesce(F.col("closed") & (F.col("roots") == 1) & ((F.col("faults") == 0) | nothing), F.lit(False)).alias("root_ok"),
     )
-    whole = elements.join(files.where("root_ok AND NOT nothing").select("path"), "path")
+    # a row per file, fewer than the start states; joined by shuffle, a file's elements would be one task
+    whole = elements.join(F.broadcast(files.where("root_ok AND NOT nothing").select("path")), "path")
     alone = files.where("NOT root_ok OR coalesce(nothing, true)")
     return whole.select(
         name.alias("file"), F.lit(True).alias("root_ok"), F.col("number").cast("int").alias("pos"), "raw"

@@ -110,3 +110,45 @@ def test_long_element_over_many_ranges(spark, tmp_path, ranges):
     ranges(120)
     got = rows(files.read_documents(spark, put(tmp_path / "in", {"long.json": text})))
     check(got, "long.json", text)
+
+
+def test_elements_do_not_meet_in_one_task(spark, tmp_path):
+    """A file's elements stay where they were cut; its one row of judgement goes to them."""
+    path = put(tmp_path / "in", {"plain.json": TEXTS["plain.json"]})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = files.read_documents(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [path" in plan
+
+
+def test_array_is_sorted_in_ranges(spark, tmp_path):
+    """Elements by key, nulls first, repeated ones kept; no window and no sort of all rows in one task."""
+    from pyspark.sql import functions as F
+
+    from lexmill import schemas as S
+    from lexmill.queries import stores
+
+    keys = [None if i % 50 == 0 else i // 2 for i in range(400)]
+    acts = spark.createDataFrame([(k,) for k in reversed(keys)], "k INT").repartition(3).select(
+        F.from_json(F.to_json(F.struct(F.concat(F.lit("order-"), "k").alias("document_id"))), S.LEGAL_ACT).alias("legal_act"),
+        F.array().cast(S.RELATIONS).alias("legal_act_relations"),
+    )
+    lines = stores.array_lines(acts)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan and f", {stores.ARRAY_RANGES})" in plan
+    lines.write.text(str(tmp_path / "array"))
+    written = list((tmp_path / "array").glob("part-*"))
+    assert len(written) == 1
+    got = [a["legal_act"].get("document_id") for a in json.loads(written[0].read_text())]
+    assert got == [None if k is None else f"order-{k}" for k in sorted(keys, key=lambda k: (k is not None, k))]
+
+
+def test_builders_bound_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    from lexmill.queries import raw
+
+    spark.range(1000).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "t.parquet"))
+    monkeypatch.setattr(raw, "ROWS_PER_TASK", 50)
+    dealt = raw.spread_columns(spark, str(tmp_path), "t", "k")
+    assert dealt.rdd.getNumPartitions() == 20 and dealt.count() == 1000
