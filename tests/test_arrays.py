@@ -151,4 +151,4 @@ def test_builders_bound_the_rows_of_a_task(spark, tmp_path, monkeypatch):
     spark.range(1000).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "t.parquet"))
     monkeypatch.setattr(raw, "ROWS_PER_TASK", 50)
     dealt = raw.spread_columns(spark, str(tmp_path), "t", "k")
-    assert dealt.rdd.getNumPartitions() == 20 and dealt.count() == 1000
+    assert 20 <= dealt.rdd.getNumPartitions() < 20 + spark.sparkContext.defaultParallelism and dealt.count() == 1000

@@ -251,3 +251,16 @@ def test_sample_reads_pages_until_the_laws_are_known(spark, tmp_path):
     every = runs.sample_versions(stored, "2026-04-10", 1000)
     assert every.count() == 100 and rows(every.where("document_id = 'l0'"), "entry_date") == [("2021-01-01",)]
     assert runs.sample_versions(stored.where("false"), "2026-04-10", 5).count() == 0
+
+
+def test_pages_fetched_once_are_not_sorted(spark, tmp_path, monkeypatch):
+    """Only addresses that repeat are compared; null is one of them."""
+    compared = []
+    real = runs._stored
+    monkeypatch.setattr(runs, "_stored", lambda s, r, name, *p: compared.append(name) or real(s, r, name, *p))
+    once = law_pages(spark, ("u", "<h1>A</h1>"), ("v", None))
+    assert rows(runs.ingest_pages(spark, once, str(tmp_path / "a")), "url", "title") == [("u", "A"), ("v", None)]
+    assert compared == ["repeated"]
+    twice = once.unionByName(law_pages(spark, ("u", "<h1>B</h1>"), (None, "<h1>C</h1>"), (None, "<h1>D</h1>")))
+    got = rows(runs.ingest_pages(spark, twice, str(tmp_path / "b")), "url", "title")
+    assert got == sorted([("u", "B"), ("v", None), (None, "D")], key=repr)
