@@ -257,7 +257,7 @@ def test_pages_fetched_once_are_not_sorted(spark, tmp_path, monkeypatch):
     """Only addresses that repeat are compared; null is one of them."""
     compared = []
     real = runs._stored
-    monkeypatch.setattr(runs, "_stored", lambda s, r, name, *p: compared.append(name) or real(s, r, name, *p))
+    monkeypatch.setattr(runs, "_stored", lambda s, r, name: compared.append(name) or real(s, r, name))
     once = law_pages(spark, ("u", "<h1>A</h1>"), ("v", None))
     assert rows(runs.ingest_pages(spark, once, str(tmp_path / "a")), "url", "title") == [("u", "A"), ("v", None)]
     assert compared == ["repeated"]
