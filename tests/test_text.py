@@ -1,8 +1,10 @@
 """Edge cases of the text functions."""
 
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
+from lexmill import constants as K
 from lexmill.functions import documents as D
 from lexmill.functions import text as X
 
@@ -159,3 +161,34 @@ def test_prompt(spark):
     third = frame.where("t IS NULL")
     for cuts, kept in (((None, None), 4000), ((3500, 3000), 3000), ((None, 10), 10)):
         assert third.select(D.prompt("t", "x", *cuts)).first()[0] == "Titel: Kein Titel\n\nText:\n" + "y" * kept
+
+
+def test_body_patterns_find_what_a_lazy_dot_finds(values):
+    texts = [
+        "<main>a</main>b</main>", "<MAIN x='1'>a\n<b>c</B></Main><main>d</main>", "<main>a<main>b</main>",
+        "<main>a</mainx></main >b</main>", "<main>a", "<main", "<main>a<", "<mainframe>ü<</main>", "</main><main></main>",
+        "<main a='<'>b</main><article>c</article>", "<main>" + "<b>x</b> " * 50_000 + "</main>y", None,
+    ]
+    for tag, pattern in (("main", K.MAIN), ("article", K.ARTICLE)):
+        given = [t and t.replace("main", tag) for t in texts]
+        lazy = rf"(?is)<{tag}[^>]*>(.*?)</{tag}>"
+        assert values(given, lambda s: X.capture_or_empty(s, pattern)) == values(given, lambda s: X.capture_or_empty(s, lazy))
+        assert "*?" not in pattern  # one step per bracket, not one per character
+
+
+def test_each_pattern_waits_for_all_its_words(spark):
+    lower = F.col("l")
+    words = {
+        X.extract_abbreviation: ["rzung", "<dt"], X.extract_enactment_date: ["ausfertigungsdatum", "<dt"],
+        X.extract_last_amendment_date: ["zuletzt", "letzte", "nderung"],
+    }
+    pages = spark.createDataFrame(
+        [("Abkürzung<b>GX</b> Ausfertigungsdatum 01.02.2003 Letzte Änderung 04.05.2006",),
+         ("<DT>ABKÜRZUNG</DT><dd>GY</dd><dt>Ausfertigungsdatum</dt><dd>01.02.2003</dd> zuletzt geändert 04.05.2006",)],
+        "html STRING",
+    ).withColumn("l", X.lowered("html"))
+    for extract, needed in words.items():
+        plan = pages.select(extract("html", lower))._jdf.queryExecution().analyzed().toString().lower()
+        assert [word for word in needed if f", {word})" not in plan] == []
+        assert rows(pages.select(extract("html", lower))) == rows(pages.select(extract("html")))
+        assert all(r[0] for r in rows(pages.select(extract("html", lower))))
