@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from lexmill import session
 from lexmill.operators import enrich, pages, versions
+from lexmill.sources import sitemaps
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,6 +73,26 @@ def test_page_fields_are_computed_once(spark):
         assert text.count(word) == 1, word
 
 
+def test_sitemap_fields_are_taken_of_law_blocks_only(spark):
+    law = "https://x/1/lrgv/gesetz/01022003-a"
+    xml = (
+        f"<url><loc> {law} </loc><lastmod>2003-01-01</lastmod></url><url><lastmod>/lrgv/</lastmod></url>"
+        f"<url><loc>https://x/</loc>{law}</url><url><loc>{law}/more/</loc></url><url><loc>{law}b</loc><lastmod> </lastmod></url>"
+    )
+    frame = spark.createDataFrame([(1, xml), (2, None), (3, "")], "page INT, xml STRING")
+    entries = sitemaps.law_entries(frame)
+    got = sorted(map(tuple, entries.select("page", "pos", "url", "lastmod", "document_id").collect()))
+    assert got == [(1, 0, law, "2003-01-01", "a"), (1, 4, f"{law}b", None, "ab")]
+    text = plan(entries.where(F.col("lastmod") >= "2003"), "optimizedPlan")
+    assert "lambda" not in text  # compiled, not evaluated node by node
+    for word in ("<loc>", "<lastmod>", "/lrgv/["):
+        assert text.count(word) == 1, word
+    lines = text.splitlines()
+    test = next(i for i, line in enumerate(lines) if "Contains(block" in line)
+    taken = next(i for i, line in enumerate(lines) if "<loc>" in line)
+    assert test > taken  # the filter is below the step that takes the fields
+
+
 def test_summaries_join_without_a_shuffle_of_their_own(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         text = plan(entry.queries()["backfill_outcomes"](spark, SF))

@@ -192,3 +192,16 @@ def test_each_pattern_waits_for_all_its_words(spark):
         assert [word for word in needed if f", {word})" not in plan] == []
         assert rows(pages.select(extract("html", lower))) == rows(pages.select(extract("html")))
         assert all(r[0] for r in rows(pages.select(extract("html", lower))))
+
+
+def test_block_pattern_finds_what_a_lazy_dot_finds(values):
+    texts = [
+        "<url>a</url><url></url>b<url>c<d>e</d>\n</url>", "<url>a<url>b</url></url>", "<url>a", "<URL>a</URL>",
+        "<url>a</urlx></url >b</url><url>c<</url>", "</url><url>ü < x</url>", "", None,
+    ]
+
+    def found(pattern):
+        return lambda s: F.regexp_extract_all(s, F.lit(pattern), F.lit(1))
+
+    assert values(texts, found(K.URL_BLOCK)) == values(texts, found(r"(?s)<url>(.*?)</url>"))
+    assert "*?" not in K.URL_BLOCK  # one step per bracket, not one per character
