@@ -33,6 +33,27 @@ def test_fetch_outcomes(spark):
     ]
 
 
+def test_fetch_outcomes_of_odd_attempts(spark):
+    log = {
+        "tie": [(1, 404, "b"), (1, 200, None), (1, 404, "a")], "same": [(2, 404, "b"), (2, 410, "a"), (3, 200, None)],
+        "unnumbered": [(1, 200, None), (None, 404, "n")], "both": [(None, 404, "n"), (None, 301, None)],
+        "waits": [(5, 503, "e5"), (None, 503, "n")], "negative": [(-1, 503, "e"), (-3, 500, "f")],
+        "large": [(2**31 - 1, 200, None), (2**31 - 1, 503, "e")], "equal": [(4, None, None), (4, 500, "x"), (4, 500, "x")],
+    }
+    attempts = spark.createDataFrame(
+        [(key, *entry) for key, entries in log.items() for entry in entries] + [(None, 1, 404, "z")],
+        "document_id STRING, attempt INT, status INT, error STRING",
+    )
+    got = P.fetch_outcome(attempts)
+    assert rows(got) == [
+        ("both", "ok", None, None), ("equal", "transient", 4, None), ("large", "ok", 2**31 - 1, None),
+        ("negative", "transient", -1, "e"), ("same", "permanent", 2, "a"), ("tie", "ok", 1, None),
+        ("unnumbered", "permanent", None, "n"), ("waits", "transient", None, "n"), (None, "permanent", 1, "z"),
+    ]
+    plan = got.drop("message")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 EXTRACTED = (
     "document_id STRING, doc_type STRING, url STRING, entry_date STRING, abrogated BOOLEAN, "
     "title STRING, abbreviation STRING, enactment_date STRING, last_amendment_date STRING, "

@@ -73,6 +73,43 @@ def test_page_fields_are_computed_once(spark):
         assert text.count(word) == 1, word
 
 
+def test_requests_take_the_text_of_laws_in_force_only(spark):
+    page = '<body class="{}"><h1>T</h1><main>{}</main>Fundstelle 01.02.2003</body>'
+    frame = spark.createDataFrame(
+        [("a", page.format("law", "x <b>y</b>")), ("b", page.format("Aufgehoben", "x")), ("c", None),
+         ("d", page.format("law", " ")), ("e", page.format("law", "aufgehoben")), (None, page.format("law", "n")),
+         ("a", page.format("law", "x <b>y</b>"))],
+        "document_id STRING, html STRING",
+    )
+    attempts = spark.createDataFrame(
+        [("a", 1, 503, "e"), ("a", 2, 200, None), ("e", 1, 404, "e"), ("d", 1, 200, None), (None, 1, 404, "e")],
+        "document_id STRING, attempt INT, status INT, error STRING",
+    )
+    laws = pages.extract_laws(frame).join(pages.fetch_outcome(attempts), "document_id", "left")
+    assert laws.columns[:2] + laws.columns[6:8] == ["document_id", "abrogated", "publication_date", "text_content"]
+    error = F.when(F.col("fetch_outcome") != "ok", F.col("fetch_outcome")).when(
+        F.col("abrogated").isNull(), "transient"
+    )
+    requests = enrich.summary_requests(laws.withColumn("error_type", error))
+    assert rows(requests, "document_id", "prompt") == [
+        ("a", "Titel: T\n\nText:\nx y"), ("a", "Titel: T\n\nText:\nx y"), (None, "Titel: T\n\nText:\nn"),
+    ]
+    text = plan(requests, "optimizedPlan")
+    for word in ("<h1[", "<main[", "<article[", 'class="', "lower("):
+        assert text.count(word) == 1, word
+    for word in ("Fundstelle", "zuletzt", "Ausfertigungsdatum", "Abk.rzung"):  # nobody reads these
+        assert word not in text, word
+    lines = text.splitlines()
+    join, marked, taken = [
+        next(i for i, line in enumerate(lines) if word in line) for word in ("Join", 'class="', "<main[")
+    ]
+    filters = [i for i, line in enumerate(lines) if "Filter" in line]
+    assert any(taken < i < marked for i in filters)  # abrogated laws leave before the text is taken
+    assert any(join < i < taken for i in filters)  # empty texts leave before the join
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert "SortAggregate" not in plan(requests)  # the message of an outcome is not read
+
+
 def test_sitemap_fields_are_taken_of_law_blocks_only(spark):
     law = "https://x/1/lrgv/gesetz/01022003-a"
     xml = (
